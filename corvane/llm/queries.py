@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import simhash
+from corvane.llm import byte_bpe, html_text, simhash, warc
 from corvane.session import table
 
 
@@ -14,8 +15,27 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"))
 
 
+def vocabulary(spark: SparkSession) -> byte_bpe.Vocabulary:
+    return byte_bpe.Vocabulary(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digest(table(spark, sf_dir, "documents"), vocabulary(spark))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(table(spark, sf_dir, "pages"))
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.digest(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op6_warc": op6_warc,
+    "op10_html_text": op10_html_text,
 }
 
 ORACLE_SQL: dict[str, str] = {}
