@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import byte_bpe, html_text, simhash, warc
+from corvane.llm import byte_bpe, chat, html_text, quality, rules, simhash, warc
 from corvane.session import table
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"))
 
@@ -27,15 +31,28 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(table(spark, sf_dir, "pages"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(table(spark, sf_dir, "conversations"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.digest(table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality": op3_quality,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_warc": op6_warc,
+    "op8_chat_format": op8_chat_format,
+    "op9_quality_rules": op9_quality_rules,
     "op10_html_text": op10_html_text,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_quality_rules": rules.ORACLE_SQL,
+}
