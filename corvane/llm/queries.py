@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import byte_bpe, chat, html_text, quality, rules, simhash, warc
+from corvane.llm import byte_bpe, chat, html_text, pii, quality, rules, simhash, warc
 from corvane.session import table
 
 
@@ -31,6 +31,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(table(spark, sf_dir, "pages"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(table(spark, sf_dir, "conversations"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_warc": op6_warc,
+    "op7_pii": op7_pii,
     "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
     "op10_html_text": op10_html_text,
