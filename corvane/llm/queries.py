@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import byte_bpe, chat, html_text, pii, quality, rules, simhash, suffixes, warc
+from corvane.llm import byte_bpe, chat, decontaminate, html_text, pii, quality, rules, simhash, suffixes, warc
 from corvane.session import table
 
 
@@ -15,6 +15,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digest(table(spark, sf_dir, "documents"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,6 +57,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_decontaminate": op2_decontaminate,
     "op3_quality": op3_quality,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_byte_bpe": op5_byte_bpe,
