@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvane.llm.common import let
+
 CONTROL = r"(<|\[)(?=/?s>|/?INST\]|/?<SYS>>|</SYS>>|/?ROLE\]|AS\]|PART\])"
 BLOCK = r"(?s)(\[INST\]|<<SYS>>|<s>|\[ROLE\])(.*?)(\[/INST\]|<</SYS>>|</s>|\[/ROLE\])"
 
@@ -37,10 +39,10 @@ def formatted(conversations: DataFrame) -> DataFrame:
     rows stay; rows with null turn come first; a null conv_id is a conversation of its own.
     """
     df = turns_of(conversations)
-    starts = "filter(sequence(0, size(turns) - 1), i -> i = 0 or turns[i].role <> turns[i - 1].role)"
-    df = df.withColumn("starts", F.expr(starts))
-    blocks = "transform(starts, (s, k) -> struct(turns[s].role as role, transform(slice(turns, s + 1, coalesce(get(starts, k + 1), size(turns)) - s), t -> t.text) as texts))"
-    df = df.withColumn("blocks", F.expr(blocks))
+    # both are bound once, so that no reordering of expressions evaluates them per turn
+    starts = "filter(sequence(0, size(ts) - 1), i -> i = 0 or ts[i].role <> ts[i - 1].role)"
+    blocks = "transform(st, (s, k) -> struct(ts[s].role as role, transform(slice(ts, s + 1, coalesce(get(st, k + 1), size(ts)) - s), t -> t.text) as texts))"
+    df = df.withColumn("blocks", F.expr(let("ts", "turns", let("st", starts, blocks))))
 
     def segments(block: Column) -> Column:
         role = block["role"]

@@ -39,6 +39,11 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let(name: str, value: str, body: str) -> str:
+    """SQL of ``body`` with ``name`` bound to ``value``: bound once, however the optimiser moves the expression."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
 def text_of(name: str) -> Column:
     """The text column with null as the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -14,7 +14,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import text_of
+from corvane.llm.common import let, text_of
 
 MARK = "\x01"
 #: Base patterns. A run of the first class is only tried at its start or where the last match ended, and takes
@@ -139,11 +139,11 @@ def fitted(spark) -> tuple[str, dict[str, float]]:
 @lru_cache(maxsize=1)
 def _spans_sql() -> str:
     """Array of (kind, start, end, m, before, after) from the pieces between marks; odd pieces are the matches."""
-    return f"""aggregate(sequence(1, size(pieces) - 2, 2),
+    return f"""aggregate(sequence(1, size(ps) - 2, 2),
         named_struct('at', 0, 'found', cast(array() as array<struct<kind:string,start:int,end:int,m:string,before:string,after:string>>)),
-        (s, i) -> named_struct('at', s.at + length(pieces[i - 1]) + length(pieces[i]), 'found', concat(s.found, array(named_struct(
-            'kind', kind_, 'start', s.at + length(pieces[i - 1]), 'end', s.at + length(pieces[i - 1]) + length(pieces[i]),
-            'm', pieces[i], 'before', right(pieces[i - 1], {CONTEXT}), 'after', left(pieces[i + 1], {CONTEXT}))))),
+        (s, i) -> named_struct('at', s.at + length(ps[i - 1]) + length(ps[i]), 'found', concat(s.found, array(named_struct(
+            'kind', kind_, 'start', s.at + length(ps[i - 1]), 'end', s.at + length(ps[i - 1]) + length(ps[i]),
+            'm', ps[i], 'before', right(ps[i - 1], {CONTEXT}), 'after', left(ps[i + 1], {CONTEXT}))))),
         s -> s.found)"""
 
 
@@ -152,7 +152,7 @@ def _matches(df: DataFrame, kind: str, pattern: str) -> DataFrame:
     df = df.withColumn("marked", F.regexp_replace("text_", f"({pattern})", f"{MARK}$1{MARK}"))
     df = df.withColumn("pieces", F.when(F.length("marked") > F.length("text_"), F.split("marked", MARK, -1)))
     none = "cast(array() as array<struct<kind:string,start:int,end:int,m:string,before:string,after:string>>)"
-    return df.withColumn(kind, F.expr(f"case when pieces is null then {none} else {_spans_sql().replace('kind_', repr(kind))} end")).drop("marked", "pieces")
+    return df.withColumn(kind, F.expr(f"case when pieces is null then {none} else {let('ps', 'pieces', _spans_sql().replace('kind_', repr(kind)))} end")).drop("marked", "pieces")
 
 
 DIGITS = "regexp_replace(x.m, '[^0-9]+', '')"
@@ -183,7 +183,8 @@ def find(docs: DataFrame) -> DataFrame:
     df = df.withColumn("base", F.expr(f"array_sort(transform(concat({base}), x -> {shape}))"))
     given = {n: s.replace("kind)", "x.kind)") for n, s in feature_sql().items()}
     bound = ", ".join(f"'{n}', " + _bind(s) for n, s in given.items())
-    df = df.withColumn("more_", F.expr(f"transform(filter(concat({', '.join(MORE)}), x -> not exists(base, b -> b.start < x.end and x.start < b.end)), x -> named_struct('x', x, 'f', named_struct({bound})))"))
+    free = f"filter(concat({', '.join(MORE)}), x -> not exists(held, b -> b.start < x.end and x.start < b.end))"
+    df = df.withColumn("more_", F.expr(f"transform({let('held', 'base', free)}, x -> named_struct('x', x, 'f', named_struct({bound})))"))
     limit = " ".join(f"when y.x.kind = '{k}' then {v:.6f}D" for k, v in limits.items())
     df = df.withColumn("more_", F.expr(f"transform(filter(more_, y -> {score.replace('f.', 'y.f.')} >= case {limit} end), y -> y.x)"))
     df = df.withColumn("spans", F.expr(f"array_sort(concat(base, transform(more_, x -> {shape})))"))

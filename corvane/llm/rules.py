@@ -11,12 +11,23 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import text_of
+from corvane.llm.common import let, text_of
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
 
 
+#: 3-word windows with their starts; equal ones are side by side after sorting. A repeated window adds the words
+#: up to the next repeated one's start, three at most.
+_NONE = "cast(array() as array<struct<w:string,i:int>>)"
+_WINDOWS = f"case when size(ws) > 2 then transform(slice(ws, 1, size(ws) - 2), (w, i) -> struct(w || ' ' || ws[i + 1] || ' ' || ws[i + 2] as w, i as i)) else {_NONE} end"
+_SORTED = f"case when size(array_distinct(transform(win, x -> x.w))) < size(win) then sort_array(win) else {_NONE} end"
+_AGAIN = """sort_array(transform(filter(transform(srt, (x, k) -> struct(x.i as i,
+    (k > 0 and get(srt, k - 1).w = x.w) or coalesce(get(srt, k + 1).w = x.w, false) as twice)), x -> x.twice), x -> x.i))"""
+_SUM = "aggregate(transform(again, (x, k) -> least(3, coalesce(get(again, k + 1) - x, 3))), 0L, (a, x) -> a + x)"
+REPEATS = let("ws", "words_", let("win", _WINDOWS, let("srt", _SORTED, let("again", _AGAIN, _SUM))))
+
+
 def measures(docs: DataFrame) -> DataFrame:
     """docs plus text_ (null: empty), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     df = docs.withColumn("text_", text_of("text"))
@@ -26,15 +37,7 @@ def measures(docs: DataFrame) -> DataFrame:
     df = df.withColumn("word_chars", F.length(F.regexp_replace("text_", SPACE + "+", "")).cast("long"))
     df = df.withColumn("n_symbols", (F.length("text_") - F.length(F.translate("text_", "#*$%&|<>", ""))).cast("long"))
     df = df.withColumn("n_dup_lines", (F.size("lines_") - F.size(F.array_distinct("lines_"))).cast("long"))
-    # 3-word windows as (window, start), equal ones side by side after sorting; starts of repeated windows
-    df = df.withColumn("windows_", F.when(F.col("n_words") > 2, F.zip_with(
-        F.expr("transform(slice(words_, 1, size(words_) - 2), (w, i) -> w || ' ' || words_[i + 1] || ' ' || words_[i + 2])"),
-        F.expr("sequence(0, size(words_) - 3)"), lambda w, i: F.struct(w.alias("w"), i.alias("i")))).otherwise(F.expr("cast(array() as array<struct<w:string,i:int>>)")))
-    df = df.withColumn("sorted_", F.when(F.size(F.array_distinct("windows_.w")) < F.size("windows_"), F.array_sort("windows_")).otherwise(F.expr("cast(array() as array<struct<w:string,i:int>>)")))
-    df = df.withColumn("again_", F.expr("""array_sort(transform(filter(transform(sorted_, (x, k) -> struct(x.i as i,
-        (k > 0 and get(sorted_, k - 1).w = x.w) or coalesce(get(sorted_, k + 1).w = x.w, false) as twice)), x -> x.twice), x -> x.i))"""))
-    df = df.withColumn("n_repeat_words", F.expr("aggregate(transform(again_, (x, k) -> least(3, coalesce(get(again_, k + 1) - x, 3))), 0L, (a, x) -> a + x)"))
-    return df.drop("words_", "lines_", "windows_", "sorted_", "again_")
+    return df.withColumn("n_repeat_words", F.expr(REPEATS)).drop("words_", "lines_")
 
 
 @dataclass(frozen=True)
