@@ -30,5 +30,6 @@ def run(audit: DataFrame, name: str) -> DataFrame:
 def pivoted(audit: DataFrame) -> DataFrame:
     """A row for each (chat, chat_name, base): the sorted paths of each source, joined by a bar; null where it has none."""
     named = audit.withColumn("base", F.element_at(F.split("path", "/"), -1))
-    joined = F.nullif(F.array_join(F.array_sort(F.collect_set("path")), " | "), F.lit(""))
-    return named.groupBy("chat", "chat_name", "base").pivot("source", SOURCES).agg(joined)
+    joined = F.array_join(F.array_sort(F.collect_set("path")), " | ")
+    wide = named.groupBy("chat", "chat_name", "base").pivot("source", SOURCES).agg(joined)
+    return wide.select("chat", "chat_name", "base", *[F.nullif(F.col(s), F.lit("")).alias(s) for s in SOURCES])
