@@ -9,8 +9,10 @@ with the same ``length`` bytes.
 Only buckets of two or more need refining. To find them without shuffling every suffix, each window of
 ``length`` bytes elects the least bucket name of its q-grams (depth 64) as its anchor; equal windows elect
 equal anchors at equal places. One row per anchor is shuffled. Where all windows around the anchors of a
-bucket agree (a second name covers them all), they are repeats at once; in other buckets one suffix for each
-different surrounding is refined to the last depth, and its windows are compared one by one.
+bucket agree (a second name covers them all), they are repeats at once. In other buckets one suffix for each
+different surrounding is looked at again: windows whose places around the anchor are near each other share a
+core of ``length - CHUNK + 1`` bytes, and only windows whose core is met twice are refined to the last depth and
+compared one by one.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from corvane.llm.common import batch, bounded_batches, cut, text_of
 
 LENGTH = 200
 Q = 64
+#: Neighbouring windows that are judged by the core they share, before they are compared singly.
+CHUNK = 16
 #: Windows handled at once; their places fit in 20 bits.
 STEP = 1 << 19
 _PLACE = np.uint64((1 << 20) - 1)
@@ -52,7 +56,7 @@ def _refine(names: np.ndarray, offset: int, lane: int) -> np.ndarray:
     return out
 
 
-def bucket_names(data: np.ndarray, lane: int, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+def bucket_names(data: np.ndarray, lane: int, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket names of all suffixes at depth Q and at depth ``length`` (Q <= length)."""
     names, depth, grams = _FIRST[lane][data], 1, None
     while depth < length:
@@ -64,7 +68,7 @@ def bucket_names(data: np.ndarray, lane: int, length: int = LENGTH) -> tuple[np.
 
 
 def anchors(data: np.ndarray, length: int = LENGTH) -> Iterator[tuple[np.ndarray, ...]]:
-    """(anchor's bucket, two names of all its windows, first window, windows) of a text, in parts."""
+    """(anchor's bucket, two names of all its windows, first window, windows * 1024 + the anchor's place from the first) of a text, in parts."""
     span = length - Q + 1
     for at in range(0, len(data) - length + 1, STEP):
         part = data[at : at + STEP + length - 1]
@@ -79,45 +83,78 @@ def anchors(data: np.ndarray, length: int = LENGTH) -> Iterator[tuple[np.ndarray
         n = np.diff(np.concatenate([lo, [len(place)]]))
         shape = (n * 1024 + place[lo] - lo).astype(np.uint64)
         whole = [(x[lo] * _MUL[1] + x[lo + n - 1]) * _MUL[0] ^ shape * _MUL[1] for x in (full, other)]
-        yield grams[place[lo]], whole[0], whole[1], lo + at, n
+        yield grams[place[lo]], whole[0], whole[1], lo + at, shape.astype(np.int64)
 
 
 def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
-    schema = pa.schema([("h", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("key", pa.int64()), ("lo", pa.int64()), ("n", pa.int32())])
+    schema = pa.schema([("h", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("key", pa.int64()), ("lo", pa.int64()), ("shape", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = [[], [], [], [], [], []]
             for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for h, k1, k2, lo, n in anchors(np.frombuffer(text, np.uint8), length):
-                    for column, x in zip(rows, (h.view(np.int64), k1.view(np.int64), k2.view(np.int64), np.full(len(lo), key), lo, n.astype(np.int32)), strict=True):
+                for h, k1, k2, lo, shape in anchors(np.frombuffer(text, np.uint8), length):
+                    for column, x in zip(rows, (h.view(np.int64), k1.view(np.int64), k2.view(np.int64), np.full(len(lo), key), lo, shape.astype(np.int32)), strict=True):
                         column.append(x)
             if rows[0]:
                 yield batch(schema, [np.concatenate(x) for x in rows])
 
-    return docs.select("key", "data").mapInArrow(run, "h long, k1 long, k2 long, key long, lo long, n int")
+    return docs.select("key", "data").mapInArrow(run, "h long, k1 long, k2 long, key long, lo long, shape int")
 
 
-def _window_rows(parts: DataFrame, length: int) -> DataFrame:
-    """(key, data, ranges of windows) -> a row (two names, key, window, solo) for each window."""
-    schema = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("key", pa.int64()), ("p", pa.int64()), ("solo", pa.bool_())])
+def _pieces(docs: DataFrame, ranges: DataFrame, length: int) -> DataFrame:
+    """h, key, lo, shape, solo and the bytes of all windows of each range; docs are read again only here."""
+    schema = pa.schema([("h", pa.int64()), ("key", pa.int64()), ("lo", pa.int64()), ("shape", pa.int32()), ("solo", pa.bool_()), ("piece", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for key, data, ranges in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                text = np.frombuffer(data, np.uint8)
                 for at in range(0, len(ranges), 4096):
-                    w1, w2, ps, solo = [], [], [], []
-                    for r in ranges[at : at + 4096]:
-                        piece = text[r["lo"] : r["lo"] + r["n"] + length - 1]
-                        w1.append(bucket_names(piece, 0, length)[1])
-                        w2.append(bucket_names(piece, 1, length)[1])
-                        ps.append(np.arange(r["lo"], r["lo"] + r["n"]))
-                        solo.append(np.full(r["n"], r["solo"]))
-                    p = np.concatenate(ps)
-                    yield batch(schema, [np.concatenate(w1).view(np.int64), np.concatenate(w2).view(np.int64), np.full(len(p), key), p, np.concatenate(solo)])
+                    part = ranges[at : at + 4096]
+                    yield batch(schema, [[r["h"] for r in part], [key] * len(part), [r["lo"] for r in part], [r["shape"] for r in part], [r["solo"] for r in part],
+                                         [data[r["lo"] : r["lo"] + r["shape"] // 1024 + length - 1] for r in part]])
+
+    return docs.join(ranges, "key").select("key", "data", "ranges").mapInArrow(run, "h long, key long, lo long, shape int, solo boolean, piece binary")
+
+
+def _core_rows(pieces: DataFrame, length: int) -> DataFrame:
+    """h, chunk, core, key, lo: a row for each chunk of windows of a piece, named by the core they share."""
+    schema = pa.schema([("h", pa.int64()), ("chunk", pa.int32()), ("core", pa.int64()), ("key", pa.int64()), ("lo", pa.int64())])
+    depth = length - CHUNK + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for h, key, lo, shape, piece in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                n, anchor = divmod(shape, 1024)
+                names = bucket_names(np.frombuffer(piece, np.uint8), 0, depth)[1].view(np.int64)
+                # a window at w has its anchor at offset anchor - w; chunks are counted by that offset
+                for c in range(max(0, anchor - n + 1) // CHUNK, anchor // CHUNK + 1):
+                    rows.append((h, c, int(names[anchor - CHUNK * c]), key, lo))
+            if rows:
+                yield batch(schema, [list(x) for x in zip(*rows, strict=True)])
+
+    return pieces.select("h", "key", "lo", "shape", "piece").mapInArrow(run, "h long, chunk int, core long, key long, lo long")
+
+
+def _window_rows(pieces: DataFrame, length: int) -> DataFrame:
+    """(key, lo, shape, solo, piece, chunks) -> a row (two names, key, window, solo) for each window of the chunks."""
+    schema = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("key", pa.int64()), ("p", pa.int64()), ("solo", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = []
+            for key, lo, shape, solo, piece, chunks in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                n, anchor = divmod(shape, 1024)
+                text = np.frombuffer(piece, np.uint8)
+                at = np.arange(n)
+                at = at[np.isin((anchor - at) // CHUNK, chunks)]
+                got.append((bucket_names(text, 0, length)[1][at], bucket_names(text, 1, length)[1][at], np.full(len(at), key), lo + at, np.full(len(at), solo)))
+            if got:
+                w1, w2, key, p, solo = (np.concatenate(x) for x in zip(*got, strict=True))
+                yield batch(schema, [w1.view(np.int64), w2.view(np.int64), key, p, solo])
 
-    return parts.select("key", "data", "ranges").mapInArrow(run, "w1 long, w2 long, key long, p long, solo boolean")
+    return pieces.select("key", "lo", "shape", "solo", "piece", "chunks").mapInArrow(run, "w1 long, w2 long, key long, p long, solo boolean")
 
 
 def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -128,12 +165,16 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     shared = rows.groupBy("h").agg(F.count("*").alias("c"), F.min("k1").alias("a1"), F.max("k1").alias("b1"), F.min("k2").alias("a2"), F.max("k2").alias("b2"))
     shared = shared.where("c > 1").select("h", ((F.col("a1") == F.col("b1")) & (F.col("a2") == F.col("b2"))).alias("same"))
     found = cut(rows.join(shared, "h"))
-    reps = found.where("not same").groupBy("h", "k1", "k2").agg(F.count("*").alias("c"), F.min(F.struct("key", "lo", "n")).alias("r"))
+    reps = found.where("not same").groupBy("h", "k1", "k2").agg(F.count("*").alias("c"), F.min(F.struct("key", "lo", "shape")).alias("r"))
     reps = cut(reps)
-    sure = found.where("same").select("key", "lo", (F.col("lo") + F.col("n") - 1).alias("hi"))
-    alike = found.where("not same").join(reps.where("c > 1").select("h", "k1", "k2"), ["h", "k1", "k2"], "left_semi").select("key", "lo", (F.col("lo") + F.col("n") - 1).alias("hi"))
-    ranges = reps.groupBy("r.key").agg(F.collect_list(F.struct("r.lo", "r.n", (F.col("c") == 1).alias("solo"))).alias("ranges"))
-    windows = _window_rows(docs.join(ranges, "key"), length)
+    upto = (F.col("lo") + F.floor(F.col("shape") / 1024) - 1).alias("hi")
+    sure = found.where("same").select("key", "lo", upto)
+    alike = found.where("not same").join(reps.where("c > 1").select("h", "k1", "k2"), ["h", "k1", "k2"], "left_semi").select("key", "lo", upto)
+    ranges = reps.groupBy("r.key").agg(F.collect_list(F.struct("h", "r.lo", "r.shape", (F.col("c") == 1).alias("solo"))).alias("ranges"))
+    pieces = cut(_pieces(docs, ranges, length))
+    met = _core_rows(pieces, length).withColumn("c", F.count("*").over(Window.partitionBy("h", "chunk", "core"))).where("c > 1")
+    chunks = met.groupBy("key", "lo").agg(F.collect_list("chunk").alias("chunks"))
+    windows = _window_rows(pieces.join(chunks, ["key", "lo"]), length)
     # equal windows side by side; the window spills, no group is collected
     counted = windows.withColumn("c", F.count("*").over(Window.partitionBy("w1", "w2"))).where("c > 1 and solo")
     single = counted.select("key", F.col("p").alias("lo"), F.col("p").alias("hi"))
