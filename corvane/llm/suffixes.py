@@ -9,7 +9,7 @@ with the same ``length`` bytes.
 Only buckets of two or more need refining. To find them without shuffling every suffix, each window of
 ``length`` bytes elects the least bucket name of its q-grams (depth 64) as its anchor; equal windows elect
 equal anchors at equal places. One row per anchor is shuffled. Where all windows around the anchors of a
-bucket agree (a second name covers them all), they are repeats at once. In other buckets one suffix for each
+bucket agree (a name from other numbers covers them all), they are repeats at once. In other buckets one suffix for each
 different surrounding is looked at again: windows whose places around the anchor are near each other share a
 core of ``length - CHUNK + 1`` bytes, and only windows whose core is met twice are refined to the last depth and
 compared one by one.
@@ -68,12 +68,12 @@ def bucket_names(data: np.ndarray, lane: int, length: int) -> tuple[np.ndarray,
 
 
 def anchors(data: np.ndarray, length: int = LENGTH) -> Iterator[tuple[np.ndarray, ...]]:
-    """(anchor's bucket, two names of all its windows, first window, windows * 1024 + the anchor's place from the first) of a text, in parts."""
+    """(anchor's bucket, the name of all its windows by other numbers than the bucket's, first window, windows * 1024 + the anchor's place from the first) of a text, in parts."""
     span = length - Q + 1
     for at in range(0, len(data) - length + 1, STEP):
         part = data[at : at + STEP + length - 1]
-        grams, full = bucket_names(part, 0, length)
-        other = bucket_names(part, 1, length)[1]
+        grams = bucket_names(part, 0, Q)[0]
+        full = bucket_names(part, 1, length)[1]
         least, width = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64), 1
         while width < span:
             step = min(width, span - width)
@@ -82,24 +82,24 @@ def anchors(data: np.ndarray, length: int = LENGTH) -> Iterator[tuple[np.ndarray
         lo = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         n = np.diff(np.concatenate([lo, [len(place)]]))
         shape = (n * 1024 + place[lo] - lo).astype(np.uint64)
-        whole = [(x[lo] * _MUL[1] + x[lo + n - 1]) * _MUL[0] ^ shape * _MUL[1] for x in (full, other)]
-        yield grams[place[lo]], whole[0], whole[1], lo + at, shape.astype(np.int64)
+        whole = (full[lo] * _MUL[1] + full[lo + n - 1]) * _MUL[0] ^ shape * _MUL[1]
+        yield grams[place[lo]], whole, lo + at, shape.astype(np.int64)
 
 
 def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
-    schema = pa.schema([("h", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("key", pa.int64()), ("lo", pa.int64()), ("shape", pa.int32())])
+    schema = pa.schema([("h", pa.int64()), ("k", pa.int64()), ("key", pa.int64()), ("lo", pa.int64()), ("shape", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [[], [], [], [], [], []]
+            rows = [[], [], [], [], []]
             for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for h, k1, k2, lo, shape in anchors(np.frombuffer(text, np.uint8), length):
-                    for column, x in zip(rows, (h.view(np.int64), k1.view(np.int64), k2.view(np.int64), np.full(len(lo), key), lo, shape.astype(np.int32)), strict=True):
+                for h, k, lo, shape in anchors(np.frombuffer(text, np.uint8), length):
+                    for column, x in zip(rows, (h.view(np.int64), k.view(np.int64), np.full(len(lo), key), lo, shape.astype(np.int32)), strict=True):
                         column.append(x)
             if rows[0]:
                 yield batch(schema, [np.concatenate(x) for x in rows])
 
-    return docs.select("key", "data").mapInArrow(run, "h long, k1 long, k2 long, key long, lo long, shape int")
+    return docs.select("key", "data").mapInArrow(run, "h long, k long, key long, lo long, shape int")
 
 
 def _pieces(docs: DataFrame, ranges: DataFrame, length: int) -> DataFrame:
@@ -162,14 +162,14 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if length < 2 * Q:
         raise ValueError(f"length must be at least {2 * Q}")
     rows = _anchor_rows(docs, length)
-    shared = rows.groupBy("h").agg(F.count("*").alias("c"), F.min("k1").alias("a1"), F.max("k1").alias("b1"), F.min("k2").alias("a2"), F.max("k2").alias("b2"))
-    shared = shared.where("c > 1").select("h", ((F.col("a1") == F.col("b1")) & (F.col("a2") == F.col("b2"))).alias("same"))
+    shared = rows.groupBy("h").agg(F.count("*").alias("c"), F.min("k").alias("a"), F.max("k").alias("b"))
+    shared = shared.where("c > 1").select("h", (F.col("a") == F.col("b")).alias("same"))
     found = cut(rows.join(shared, "h"))
-    reps = found.where("not same").groupBy("h", "k1", "k2").agg(F.count("*").alias("c"), F.min(F.struct("key", "lo", "shape")).alias("r"))
+    reps = found.where("not same").groupBy("h", "k").agg(F.count("*").alias("c"), F.min(F.struct("key", "lo", "shape")).alias("r"))
     reps = cut(reps)
     upto = (F.col("lo") + F.floor(F.col("shape") / 1024) - 1).alias("hi")
     sure = found.where("same").select("key", "lo", upto)
-    alike = found.where("not same").join(reps.where("c > 1").select("h", "k1", "k2"), ["h", "k1", "k2"], "left_semi").select("key", "lo", upto)
+    alike = found.where("not same").join(reps.where("c > 1").select("h", "k"), ["h", "k"], "left_semi").select("key", "lo", upto)
     ranges = reps.groupBy("r.key").agg(F.collect_list(F.struct("h", "r.lo", "r.shape", (F.col("c") == 1).alias("solo"))).alias("ranges"))
     pieces = cut(_pieces(docs, ranges, length))
     met = _core_rows(pieces, length).withColumn("c", F.count("*").over(Window.partitionBy("h", "chunk", "core"))).where("c > 1")
