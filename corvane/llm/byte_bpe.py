@@ -9,7 +9,6 @@ Chunks without one are joined to their left neighbour before they are encoded.
 from __future__ import annotations
 
 import base64
-import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -55,12 +54,11 @@ def boundaries(text: str, pattern: str, start: int, low: int, high: int) -> list
 
 
 def pieces(docs: DataFrame, pattern: str, chunk: int = 1 << 16, overlap: int = 1 << 10) -> DataFrame:
-    """(doc_key, doc_id, piece_no, piece): whole texts cut where any reading has a token boundary.
+    """(doc_key, doc_id, piece_no, piece): texts longer than ``chunk``, cut where any reading has a token boundary.
 
-    Short texts are one piece and are not shuffled. doc_key tells repeated rows apart.
+    doc_key tells repeated rows apart.
     """
     keyed = docs.select(F.monotonically_increasing_id().alias("doc_key"), F.col("doc_id").cast("long"), text_of("text").alias("text"))
-    short = keyed.where(F.length("text") <= chunk).select("doc_key", "doc_id", F.lit(0).alias("piece_no"), F.col("text").alias("piece"))
     long_ = keyed.where(F.length("text") > chunk)
     cuts = F.sequence(F.lit(0), F.floor((F.length("text") - 1) / chunk).cast("int"))
     rows = long_.select("doc_key", "doc_id", "text", F.explode(cuts).alias("no")).select(
@@ -90,8 +88,7 @@ def pieces(docs: DataFrame, pattern: str, chunk: int = 1 << 16, overlap: int = 1
     text = F.substring("seen", (begin - base + 1).cast("int"), (upto - begin).cast("int"))
     parts = stitched.select("doc_key", "doc_id", "run", F.struct("no", text.alias("x")).alias("part"))
     joined = parts.groupBy("doc_key", "doc_id", "run").agg(F.sort_array(F.collect_list("part")).alias("parts"))
-    long_pieces = joined.select("doc_key", "doc_id", F.col("run").cast("int").alias("piece_no"), F.array_join(F.col("parts.x"), "").alias("piece"))
-    return short.unionByName(long_pieces)
+    return joined.select("doc_key", "doc_id", F.col("run").cast("int").alias("piece_no"), F.array_join(F.col("parts.x"), "").alias("piece"))
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = 1 << 16, overlap: int = 1 << 10) -> DataFrame:
@@ -109,21 +106,18 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = 1 << 16, overla
             ids = [enc.encode_ordinary(x) for x in b.column(3).to_pylist()]
             yield batch(schema, [*b.columns[:3], ids, [enc.decode_bytes(x) for x in ids]])
 
-    found = pieces(docs, vocabulary.pattern, chunk, overlap).mapInArrow(run, "doc_key long, doc_id long, piece_no int, ids array<int>, decoded binary")
-    single = found.where("piece_no = 0").select("doc_id", "ids", "decoded")
-    many = found.where("piece_no > 0").groupBy("doc_key", "doc_id").agg(F.sort_array(F.collect_list(F.struct("piece_no", "ids", "decoded"))).alias("p"))
+    ddl = "doc_key long, doc_id long, piece_no int, ids array<int>, decoded binary"
+    # texts of one chunk are one piece and are not shuffled
+    short = docs.select(F.lit(0).cast("long").alias("doc_key"), F.col("doc_id").cast("long"), F.lit(0).alias("piece_no"), text_of("text").alias("piece")).where(F.length("piece") <= chunk)
+    single = short.mapInArrow(run, ddl).select("doc_id", "ids", "decoded")
+    many = pieces(docs, vocabulary.pattern, chunk, overlap).mapInArrow(run, ddl)
+    many = many.groupBy("doc_key", "doc_id").agg(F.sort_array(F.collect_list(F.struct("piece_no", "ids", "decoded"))).alias("p"))
     empty = F.lit(b"").cast("binary")
     return single.unionByName(many.select("doc_id", F.flatten("p.ids").alias("ids"), F.aggregate("p.decoded", empty, lambda a, x: F.concat(a, x)).alias("decoded")))
 
 
 def digest(docs: DataFrame, vocabulary: Vocabulary, **sizes: int) -> DataFrame:
     """The columns of query op5."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = b.column(1).to_pylist()
-            yield batch(schema, [b.column(0), [len(x) for x in ids], [hashlib.sha256(",".join(map(str, x)).encode()).hexdigest() for x in ids],
-                                 [hashlib.sha256(x).hexdigest() for x in b.column(2).to_pylist()]])
-
-    return encode(docs, vocabulary, **sizes).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    found = encode(docs, vocabulary, **sizes)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
