@@ -35,7 +35,7 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     shared_dir(spark)
     path = f"{shared_dir(spark)}/rows-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -118,23 +118,27 @@ def _pieces(docs: DataFrame, ranges: DataFrame, length: int) -> DataFrame:
 
 
 def _core_rows(pieces: DataFrame, length: int) -> DataFrame:
-    """h, chunk, core, key, lo: a row for each chunk of windows of a piece, named by the core they share."""
-    schema = pa.schema([("h", pa.int64()), ("chunk", pa.int32()), ("core", pa.int64()), ("key", pa.int64()), ("lo", pa.int64())])
+    """name, key, at: a row for each chunk of windows of a piece, named by anchor, chunk and the core they share.
+
+    ``at`` is the piece's first window times 64 plus the chunk. Names that meet by chance only add a comparison.
+    """
+    schema = pa.schema([("name", pa.int64()), ("key", pa.int64()), ("at", pa.int64())])
     depth = length - CHUNK + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
+            got = []
             for h, key, lo, shape, piece in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 n, anchor = divmod(shape, 1024)
-                names = bucket_names(np.frombuffer(piece, np.uint8), 0, depth)[1].view(np.int64)
+                names = bucket_names(np.frombuffer(piece, np.uint8), 0, depth)[1]
                 # a window at w has its anchor at offset anchor - w; chunks are counted by that offset
-                for c in range(max(0, anchor - n + 1) // CHUNK, anchor // CHUNK + 1):
-                    rows.append((h, c, int(names[anchor - CHUNK * c]), key, lo))
-            if rows:
-                yield batch(schema, [list(x) for x in zip(*rows, strict=True)])
+                c = np.arange(max(0, anchor - n + 1) // CHUNK, anchor // CHUNK + 1)
+                name = (names[anchor - CHUNK * c] ^ np.array([h], np.int64).view(np.uint64)) * _MUL[0] + c.astype(np.uint64)
+                got.append((name.view(np.int64), np.full(len(c), key), lo * 64 + c))
+            if got:
+                yield batch(schema, [np.concatenate(x) for x in zip(*got, strict=True)])
 
-    return pieces.select("h", "key", "lo", "shape", "piece").mapInArrow(run, "h long, chunk int, core long, key long, lo long")
+    return pieces.select("h", "key", "lo", "shape", "piece").mapInArrow(run, "name long, key long, at long")
 
 
 def _window_rows(pieces: DataFrame, length: int) -> DataFrame:
@@ -159,12 +163,13 @@ def _window_rows(pieces: DataFrame, length: int) -> DataFrame:
 
 def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """docs(key, data) -> (key, lo, hi): windows lo..hi of ``length`` bytes that also start elsewhere."""
-    if length < 2 * Q:
-        raise ValueError(f"length must be at least {2 * Q}")
+    if not 2 * Q <= length < 1024:
+        raise ValueError(f"length must be at least {2 * Q} and below 1024")
     rows = _anchor_rows(docs, length)
     shared = rows.groupBy("h").agg(F.count("*").alias("c"), F.min("k").alias("a"), F.max("k").alias("b"))
     shared = shared.where("c > 1").select("h", (F.col("a") == F.col("b")).alias("same"))
-    found = cut(rows.join(shared, "h"))
+    # written first, so that a bucket with very many anchors is split in the join
+    found = cut(rows.join(cut(shared), "h"))
     reps = found.where("not same").groupBy("h", "k").agg(F.count("*").alias("c"), F.min(F.struct("key", "lo", "shape")).alias("r"))
     reps = cut(reps)
     upto = (F.col("lo") + F.floor(F.col("shape") / 1024) - 1).alias("hi")
@@ -172,8 +177,8 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     alike = found.where("not same").join(reps.where("c > 1").select("h", "k"), ["h", "k"], "left_semi").select("key", "lo", upto)
     ranges = reps.groupBy("r.key").agg(F.collect_list(F.struct("h", "r.lo", "r.shape", (F.col("c") == 1).alias("solo"))).alias("ranges"))
     pieces = cut(_pieces(docs, ranges, length))
-    met = _core_rows(pieces, length).withColumn("c", F.count("*").over(Window.partitionBy("h", "chunk", "core"))).where("c > 1")
-    chunks = met.groupBy("key", "lo").agg(F.collect_list("chunk").alias("chunks"))
+    met = _core_rows(pieces, length).withColumn("c", F.count("*").over(Window.partitionBy("name"))).where("c > 1")
+    chunks = met.groupBy("key", F.shiftright("at", 6).alias("lo")).agg(F.collect_list(F.col("at").bitwiseAND(63)).alias("chunks"))
     windows = _window_rows(pieces.join(chunks, ["key", "lo"]), length)
     # equal windows side by side; the window spills, no group is collected
     counted = windows.withColumn("c", F.count("*").over(Window.partitionBy("w1", "w2"))).where("c > 1 and solo")
