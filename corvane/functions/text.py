@@ -35,3 +35,66 @@ def slug(title: Column, size: int = 100, default: str = "conversation") -> Colum
     """Lower case, other characters than a-z and 0-9 as one underscore, cut to ``size``; ``default`` if nothing is left."""
     bare = F.substring(F.regexp_replace(F.regexp_replace(F.lower(title), "[^a-z0-9]+", "_"), "^_+|_+$", ""), 1, size)
     return F.coalesce(F.when(bare != "", bare), F.lit(default))
+
+
+def letters(text: Column) -> Column:
+    """The letters a-z and digits alone, in lower case."""
+    return F.regexp_replace(F.lower(text), "[^a-z0-9]+", "")
+
+
+def windows(text: Column, size: int = 60, reach: int = 300, least: int = 25) -> Column:
+    """The letters of the first line, cut to ``size``, then consecutive windows of all letters up to ``reach``; those under ``least`` are left out."""
+    whole = letters(text)
+    upto = F.least(F.length(whole), F.lit(reach))
+    rest = F.transform(F.sequence(F.lit(0), upto - 1, F.lit(size)), lambda i: F.substring(whole, i + 1, F.lit(size)))
+    subject = F.array(F.substring(letters(F.substring_index(text, "\n", 1)), 1, size))
+    return F.filter(F.when(upto > 0, F.concat(subject, rest)).otherwise(subject), lambda w: F.length(w) >= least)
+
+
+def number_twin(word: Column) -> Column:
+    """The word's plural or singular twin; null for names, short words and words on a double s."""
+    n = F.length(word)
+    one = lambda drop, add: F.concat(F.substring(word, F.lit(1), n - drop), F.lit(add))
+    kept = (F.lower(F.substring(word, 1, 1)) != F.substring(word, 1, 1)) | word.endswith("ss") | (n < 4)
+    return F.when(~kept, F.when(word.endswith("ies"), one(3, "y")).when(word.endswith("s"), one(1, "")).when(word.endswith("y"), one(1, "ies")).otherwise(one(0, "s")))
+
+
+def reason(line: Column, width: int = 120) -> Column:
+    """A fault's first line without its prefix and colon pairs, cut to ``width``."""
+    prefix = "Validation error: "
+    bare = F.replace(F.when(line.startswith(prefix), F.substring(line, F.lit(len(prefix) + 1), F.length(line))).otherwise(line), F.lit(": "), F.lit(" - "))
+    return F.when(F.length(bare) <= width, bare).otherwise(F.concat(F.substring(bare, 1, width - 3), F.lit("...")))
+
+
+def human_size(n: Column) -> Column:
+    """Bytes as B, K, M or G without decimals, beyond that as T with one."""
+    n = n.cast("double")
+    said = F.lit(None).cast("string")
+    for power, unit in reversed(list(enumerate("BKMG"))):
+        said = F.when(n < 1024.0 ** (power + 1), F.format_string("%.0f" + unit, F.bround(n / 1024.0**power))).otherwise(said if unit != "G" else F.format_string("%.1fT", F.bround(n / 1024.0**4, 1)))
+    return said
+
+
+def signed_change(was: Column, now: Column) -> Column:
+    """``now (+d)``."""
+    return F.format_string("%d (%+d)", now.cast("long"), (now - was).cast("long"))
+
+
+def uuid7_instant(anchor: Column) -> Column:
+    """The instant in the first 48 bits of a version 7 UUID; null for anything else."""
+    bits = F.conv(F.substring(F.replace(anchor, F.lit("-"), F.lit("")), 1, 12), 16, 10).cast("long")
+    return F.when(anchor.rlike("^[0-9a-f]{8}-[0-9a-f]{4}-7[0-9a-f]{3}-[0-9a-f]{4}-[0-9a-f]{12}$"), F.timestamp_millis(bits))
+
+
+#: Container folders that are no part of a file's own path, in order of trial.
+CONTAINERS = ["/home/claude/", "/mnt/user-data/outputs/", "/mnt/user-data/"]
+
+
+def safe_path(raw: Column) -> Column:
+    """The path below its container folder; null where it stays absolute or climbs with ``..``."""
+    below = raw
+    for prefix in reversed(CONTAINERS):
+        below = F.when(raw.startswith(prefix), F.substring(raw, F.lit(len(prefix) + 1), F.length(raw))).otherwise(below)
+    parts = F.filter(F.split(below, "/"), lambda x: ~x.isin("", "."))
+    said = F.when(F.size(parts) == 0, F.lit(".")).otherwise(F.array_join(parts, "/"))
+    return F.when(~below.startswith("/") & ~F.array_contains(parts, ".."), said)

@@ -67,3 +67,23 @@ def reconcile(declared: DataFrame, live: DataFrame, key: str, value: str) -> Dat
     """key, state: OK, DRIFT, or UNVERIFIED where the live side has no such setting."""
     joined = declared.select(key, F.col(value).alias("d")).join(live.select(key, F.col(value).alias("l"), F.lit(True).alias("seen")), key, "left")
     return joined.select(key, F.when(F.col("seen").isNull(), "UNVERIFIED").when(F.col("d").eqNullSafe(F.col("l")), "OK").otherwise("DRIFT").alias("state"))
+
+
+def currency(mine: DataFrame, other: DataFrame, unit: str, atom: str, at: str, label: str) -> DataFrame:
+    """unit, currency: how a unit's messages stand to those the other corpus holds; one full join, counted on the fly."""
+    a = mine.select(unit, atom).distinct().withColumn("in_m", F.lit(1))
+    b = other.groupBy(unit, atom).agg(F.max(at).alias("at")).withColumn("in_o", F.lit(1))
+    both = a.join(b, [unit, atom], "full_outer").groupBy(unit).agg(
+        F.count("in_m").alias("m"),
+        F.count("in_o").alias("o"),
+        F.count_if(F.col("in_o").isNull()).alias("here"),
+        F.count_if(F.col("in_m").isNull()).alias("there"),
+        F.max(F.when(F.col("in_m").isNull(), F.col("at"))).alias("newest"),
+    )
+    said = (
+        F.when(F.col("o") == 0, f"no-{label}").when((F.col("here") == 0) & (F.col("there") == 0), "in-sync")
+        .when(F.col("there") == 0, F.format_string(f"ahead-of-{label}: +%d messages here", "here"))
+        .when(F.col("here") == 0, F.format_string(f"stale: {label} holds %d newer messages (through %sZ)", "there", F.substring("newest", 1, 19)))
+        .otherwise(f"anomaly: unique messages both here and in the {label}")
+    )
+    return both.where("m > 0").select(unit, said.alias("currency"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -27,3 +27,28 @@ def coverage(units: DataFrame, captured: DataFrame, key: str) -> DataFrame:
         F.count_if(F.col("u").isNull()).alias("gone"),
         F.count("*").alias("total"),
     )
+
+
+#: The states of a staged unit, in the order a tally names them.
+STATES = ["promotable", "held already", "invalid", "unlicensed", "would lose", "incomplete", "unjudged"]
+REFUSING = ["AHEAD", "DIVERGED"]
+
+
+def state(missing: Column, relation: Column, judgement: Column, redundant: Column) -> Column:
+    """The one state of a staged unit, by precedence."""
+    return (
+        F.when(missing, "incomplete").when(judgement == "invalid", "invalid").when(relation.isin(REFUSING), "would lose").when(judgement == "unlicensed", "unlicensed")
+        .when(judgement.isin("unseen", "changed", "superseded", "unjudged"), "unjudged").when(redundant, "held already").otherwise("promotable")
+    )
+
+
+def promotable(relation: Column, judgement: Column) -> Column:
+    """True where the relation costs the held copy nothing and no verdict stands against the unit."""
+    return ~relation.isin(REFUSING) & judgement.isin("valid", "none")
+
+
+def tally(units: DataFrame, column: str = "state") -> DataFrame:
+    """state, n: every state is named, with 0 where no unit is in it."""
+    dim = units.sparkSession.createDataFrame([(s,) for s in STATES], f"{column} string")
+    counted = units.groupBy(column).agg(F.count("*").alias("n"))
+    return dim.join(counted, column, "left").select(column, F.coalesce("n", F.lit(0).cast("long")).alias("n"))

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corvane.functions.text import STOP_WORDS, normalised, slug, words
-from corvane.operators import audit, index, ordering, relations, trajectory, turns, verdicts
+from corvane.functions.text import STOP_WORDS, human_size, normalised, number_twin, reason, safe_path, signed_change, slug, uuid7_instant, windows, words
+from corvane.operators import audit, index, ordering, paths, relations, trajectory, turns, verdicts
 from corvane.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -326,3 +326,117 @@ def search_snippets(spark, sf_dir):
 @query("select user_id % 10 as bucket, event_type, count(*) as n from events group by all")
 def model_census(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy((F.col("user_id") % 10).alias("bucket"), "event_type").agg(F.count("*").alias("n"))
+
+
+@query("""with w as (select distinct unnest(string_split(text, ' ')) as word from benchmark)
+    select word, case when left(word, 1) <> lower(left(word, 1)) or word like '%ss' or length(word) < 4 then null when word like '%ies' then left(word, length(word) - 3) || 'y'
+    when word like '%s' then left(word, length(word) - 1) when word like '%y' then left(word, length(word) - 1) || 'ies' else word || 's' end as twin from w""")
+def word_number_twin(spark, sf_dir):
+    found = table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", " ")).alias("word")).distinct()
+    return found.select("word", number_twin(F.col("word")).alias("twin"))
+
+
+@query("""with t as (select doc_id, text, regexp_replace(lower(text), '[^a-z0-9]+', '', 'g') as l from documents),
+    w as (select doc_id, unnest(list_concat([left(regexp_replace(lower(split_part(text, chr(10), 1)), '[^a-z0-9]+', '', 'g'), 60)],
+    [substring(l, i + 1, 60) for i in range(0, cast(least(length(l), 300) as bigint), 60)])) as w from t) select doc_id, w from w where length(w) >= 25""")
+def message_windows(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(windows(F.col("text"))).alias("w"))
+
+
+@query("""with r as (select doc_id, replace(left(text, 150), ': ', ' - ') as r from documents)
+    select doc_id, case when length(r) <= 120 then r else left(r, 117) || '...' end as reason from r""")
+def reason_cut(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", reason(F.concat(F.lit("Validation error: "), F.substring("text", 1, 150))).alias("reason"))
+
+
+@query("""with n as (select doc_id, cast(n_chars as double) * n_chars * doc_id as n from documents)
+    select doc_id, case when n < 1024 then format('{:.0f}B', n) when n < 1048576 then format('{:.0f}K', n / 1024) when n < 1073741824 then format('{:.0f}M', n / 1048576)
+    when n < 1099511627776 then format('{:.0f}G', n / 1073741824) else format('{:.1f}T', n / 1099511627776) end as size from n""")
+def size_phrase(spark, sf_dir):
+    n = F.col("n_chars").cast("double") * F.col("n_chars") * F.col("doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", human_size(n).alias("size"))
+
+
+@query("""select l_orderkey, l_linenumber, cast(l_suppkey as varchar) || ' (' || case when l_suppkey >= l_partkey then '+' else '' end || cast(l_suppkey - l_partkey as varchar) || ')' as change from lineitem""")
+def change_phrase(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", signed_change(F.col("l_partkey"), F.col("l_suppkey")).alias("change"))
+
+
+@query("""with u as (select event_id, ts, lpad(printf('%x', epoch_ms(ts)), 12, '0') as h from events)
+    select event_id, case when event_id % 7 = 0 then null else make_timestamp(epoch_ms(ts) * 1000) end as at from u""")
+def turn_instant(spark, sf_dir):
+    h = F.lower(F.lpad(F.hex(F.unix_millis(F.col("ts").cast("timestamp"))), 12, "0"))
+    anchor = F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.when(F.col("event_id") % 7 == 0, "-4").otherwise("-7"), F.lit("000-8000-000000000000"))
+    return table(spark, sf_dir, "events").select("event_id", uuid7_instant(anchor).cast("timestamp_ntz").alias("at"))
+
+
+_RAW = "concat(case page_id % 6 when 0 then '/home/claude/' when 1 then '/mnt/user-data/outputs/' when 2 then '/mnt/user-data/' when 3 then '/etc/' when 4 then 'a/../' else './b//' end, cast(page_id as string), '/f.txt')"
+
+
+@query(f"""with p as (select page_id, {_RAW} as raw from pages), b as (select page_id, case when starts_with(raw, '/home/claude/') then substring(raw, 14) when starts_with(raw, '/mnt/user-data/outputs/') then substring(raw, 24)
+    when starts_with(raw, '/mnt/user-data/') then substring(raw, 16) else raw end as b from p), l as (select page_id, b, list_filter(string_split(b, '/'), lambda x: x not in ('', '.')) as l from b)
+    select page_id, case when b not like '/%' and not list_contains(l, '..') then array_to_string(l, '/') end as path from l""")
+def path_sanitised(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", safe_path(F.expr(_RAW)).alias("path"))
+
+
+_RELATION = "case doc_id % 5 when 0 then 'ABSENT' when 1 then 'IDENTICAL' when 2 then 'EXTENDS' when 3 then 'AHEAD' else 'DIVERGED' end"
+_STATES = f"""s as (select doc_id, {_RELATION} as rel, case when doc_id % 13 = 5 then 'unlicensed' else judgement end as j from j),
+    t as (select doc_id, case when doc_id % 11 = 0 then 'incomplete' when j = 'invalid' then 'invalid' when rel in ('AHEAD', 'DIVERGED') then 'would lose' when j = 'unlicensed' then 'unlicensed'
+    when j = 'unjudged' then 'unjudged' when rel = 'IDENTICAL' then 'held already' else 'promotable' end as state, rel not in ('AHEAD', 'DIVERGED') and j = 'valid' as promotable from s)"""
+
+
+def _staged(spark, sf_dir):
+    units = verdicts.judged(table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels"), "doc_id", "quality")
+    rel, judgement = F.expr(_RELATION), F.when(F.col("doc_id") % 13 == 5, "unlicensed").otherwise(F.col("judgement"))
+    state = verdicts.state(F.col("doc_id") % 11 == 0, rel, judgement, rel == "IDENTICAL")
+    return units.select("doc_id", state.alias("state"), verdicts.promotable(rel, judgement).alias("promotable"))
+
+
+@query(f"with {_JUDGED}, {_STATES} select * from t")
+def unit_states(spark, sf_dir):
+    return _staged(spark, sf_dir)
+
+
+@query(f"""with {_JUDGED}, {_STATES}, d as (select unnest(['promotable', 'held already', 'would lose', 'invalid', 'unlicensed', 'unjudged', 'incomplete']) as state)
+    select d.state, count(t.doc_id) as n from d left join t using (state) group by d.state""")
+def state_tally(spark, sf_dir):
+    return verdicts.tally(_staged(spark, sf_dir))
+
+
+@query("""with m as (select distinct conv_id, turn from conversations where conv_id % 6 <> 4 and (conv_id % 3 <> 0 or turn < 3)),
+    o as (select conv_id, turn, '2024-01-01T00:00:' || lpad(cast(turn as varchar), 2, '0') as stamp from conversations where conv_id % 5 <> 2 and (conv_id % 3 <> 1 or turn > 0) and (conv_id % 4 <> 3 or turn <> 2)),
+    b as (select coalesce(m.conv_id, o.conv_id) as conv_id, m.turn as i, o.turn as j, o.stamp from m full join o on m.conv_id = o.conv_id and m.turn = o.turn),
+    c as (select conv_id, count(i) as m, count(j) as o, count(*) filter (j is null) as here, count(*) filter (i is null) as there, max(stamp) filter (i is null) as newest from b group by conv_id)
+    select conv_id, case when o = 0 then 'no-export' when here = 0 and there = 0 then 'in-sync' when there = 0 then 'ahead-of-export: +' || here || ' messages here'
+    when here = 0 then 'stale: export holds ' || there || ' newer messages (through ' || newest || 'Z)' else 'anomaly: unique messages both here and in the export' end as currency from c where m > 0""")
+def conversation_currency(spark, sf_dir):
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat(F.lit("2024-01-01T00:00:"), F.lpad(F.col("turn").cast("string"), 2, "0")).alias("at"))
+    other = said.where("conv_id % 5 <> 2 and (conv_id % 3 <> 1 or turn > 0) and (conv_id % 4 <> 3 or turn <> 2)")
+    return relations.currency(said.where("conv_id % 6 <> 4 and (conv_id % 3 <> 0 or turn < 3)"), other, "conv_id", "turn", "at", "export")
+
+
+@query("""select user_id, event_id, ts, event_type from (select *, event_type is distinct from lag(event_type) over (partition by user_id order by ts, event_id) as new from events where event_type <> 'signup') where new""")
+def readings_collapsed(spark, sf_dir):
+    events = table(spark, sf_dir, "events").where("event_type <> 'signup'")
+    found = trajectory.deposits(events, "user_id", ["ts", "event_id"], "event_type")
+    return found.where("verdict = 'deposited'").select("user_id", "event_id", "ts", "event_type")
+
+
+_PARENT = "case when turn = 0 then null when turn >= 2 and (conv_id + turn) % 4 = 1 then turn - 2 when (conv_id + turn) % 9 = 7 then turn + 1000 else turn - 1 end"
+
+
+@query(f"""with recursive m as (select conv_id, turn, {_PARENT} as parent from conversations),
+    p as (select conv_id, max(turn) as turn, 0 as hops from m group by conv_id union all select m.conv_id, m.parent, hops + 1 from p join m on p.conv_id = m.conv_id and p.turn = m.turn
+    join m as q on q.conv_id = m.conv_id and q.turn = m.parent) select conv_id, turn, max(hops) over (partition by conv_id) - hops as place from p""")
+def active_path(spark, sf_dir):
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.expr(_PARENT).alias("parent"))
+    return paths.active_path(said, said.groupBy("conv_id").agg(F.max("turn").alias("turn")), "conv_id", "turn", "parent").select("conv_id", "turn", F.col("place").cast("int").alias("place"))
+
+
+@query(f"""with m as (select conv_id, turn, {_PARENT} as parent from conversations), c as (select m.conv_id, count(*) as n, count(*) filter (m.parent is null) as roots,
+    count(*) filter (m.parent is not null and q.turn is null) as dangling from m left join m as q on q.conv_id = m.conv_id and q.turn = m.parent group by m.conv_id)
+    select conv_id, roots, dangling from c where n > 1 and (roots <> 1 or dangling > 0)""")
+def tree_problems(spark, sf_dir):
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.expr(_PARENT).alias("parent"))
+    return paths.tree_problems(said, "conv_id", "turn", "parent")

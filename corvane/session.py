@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -21,3 +23,11 @@ def get_spark(app: str = "corvane", **conf: str) -> SparkSession:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table of that name; the path may be in any store that Spark reads."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows written below ``spark.checkpoint.dir``; a folder of our own where that is unset (local tests)."""
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+    return df.checkpoint()
