@@ -362,8 +362,8 @@ def change_phrase(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", signed_change(F.col("l_partkey"), F.col("l_suppkey")).alias("change"))
 
 
-@query("""with u as (select event_id, ts, lpad(printf('%x', epoch_ms(ts)), 12, '0') as h from events)
-    select event_id, case when event_id % 7 = 0 then null else make_timestamp(epoch_ms(ts) * 1000) end as at from u""")
+@query("""with u as (select event_id, ts, lpad(printf('%x', (epoch_us(ts) // 1000)), 12, '0') as h from events)
+    select event_id, case when event_id % 7 = 0 then null else make_timestamp((epoch_us(ts) // 1000) * 1000) end as at from u""")
 def turn_instant(spark, sf_dir):
     h = F.lower(F.lpad(F.hex(F.unix_millis(F.col("ts").cast("timestamp"))), 12, "0"))
     anchor = F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.when(F.col("event_id") % 7 == 0, "-4").otherwise("-7"), F.lit("000-8000-000000000000"))
