@@ -16,8 +16,15 @@ from corvane.llm.common import batch, bounded_batches, text_of
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|</?([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
 INLINE = frozenset("a abbr b bdi bdo big br cite code em font i img kbd label mark q s small span strike strong sub sup time tt u var wbr ins del acronym".split())
 #: Containers by tag, and by words in class, id or role, that hold no main text.
-ASIDE = frozenset("nav footer aside form header menu dialog button head title figure".split())
-NAMED = re.compile(r"""(?:class|id|role)\s*=\s*["']?[^"'>]*?\b(?:ads?|adverts?|advertisement|banner|sponsor(?:ed)?|promo|nav|navigation|menu|breadcrumbs?|sidebar|footer|header|masthead|notice|cookies?|consent|popup|modal|comments?|related|share|social|subscribe|newsletter|widget|complementary|contentinfo|search)\b""", re.I)
+ASIDE = frozenset("nav footer aside form header menu dialog button head title".split())
+NAMED = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*["']?[^"'>]*?(?<![a-z])(?:ads?|adverts?|advertisement|banner|sponsor(?:ed)?|promo|nav|navigation|menu|breadcrumbs?|sidebar|footer|header|masthead|notice|cookies?|consent|popup|modal|comments?|related|share|social|subscribe|newsletter|widget|complementary|contentinfo|search)(?![a-z])""", re.I)
+#: Containers of the whole page or of its article: their names (``no-sidebar``) say nothing about their text.
+WHOLE = frozenset("html body main article".split())
+#: Tags whose end may be left out: opening the first closes an open one of the second, up to the boundary.
+CLOSES = {
+    "li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select"),
+}
+CLOSES = {tag: (frozenset(ends.split()), frozenset(upto.split())) for tag, (ends, upto) in CLOSES.items()}
 MAIN = re.compile(r"""\brole\s*=\s*["']?main\b""", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
@@ -32,6 +39,9 @@ LABELLED = [
     (50, 0.0, 2, 1.0, 0, 0.0, 0, 0, 1), (20, 0.8, 6, 0.0, 15, 0.9, 0, 0, 0), (15, 0.9, 20, 0.8, 9, 0.0, 0, 0, 0), (9, 0.0, 15, 0.9, 0, 0.0, 0, 0, 0), (18, 0.0, 0, 0.0, 22, 0.0, 0, 1, 1),
     (2, 0.0, 0, 0.0, 0, 0.0, 0, 1, 1), (4, 1.0, 40, 0.0, 35, 0.0, 0, 1, 1), (6, 1.0, 30, 0.1, 5, 1.0, 0, 1, 1), (100, 0.0, 50, 0.0, 120, 0.0, 1, 0, 0), (60, 0.0, 40, 0.0, 50, 0.0, 1, 1, 0),
     (5, 0.0, 80, 0.0, 20, 0.0, 1, 1, 0), (22, 0.0, 70, 0.0, 3, 0.0, 1, 1, 0), (35, 0.3, 28, 0.0, 60, 0.0, 0, 0, 1), (1, 0.0, 90, 0.0, 100, 0.0, 0, 1, 1), (3, 0.0, 1, 1.0, 1, 1.0, 1, 0, 0),
+    (24, 0.0, 2, 0.0, 1, 0.0, 0, 0, 1), (24, 0.0, 3, 0.0, 8, 0.0, 0, 0, 1), (15, 0.2, 48, 0.0, 2, 0.0, 0, 0, 1), (2, 0.0, 15, 0.1, 0, 0.0, 0, 0, 1), (2, 1.0, 0, 0.0, 24, 0.0, 0, 0, 0), (2, 1.0, 60, 0.0, 0, 0.0, 0, 0, 0),
+    (1, 0.0, 2, 0.0, 48, 0.0, 0, 0, 1), (12, 0.0, 24, 0.0, 0, 0.0, 0, 0, 1), (16, 0.1, 30, 0.0, 24, 0.0, 0, 0, 1), (6, 0.0, 14, 0.0, 40, 0.0, 0, 0, 1), (3, 0.0, 2, 1.0, 24, 0.0, 0, 0, 1), (9, 0.0, 30, 0.0, 2, 1.0, 0, 0, 1),
+    (4, 1.0, 24, 0.0, 36, 0.0, 0, 0, 0), (18, 0.1, 10, 0.0, 12, 0.0, 0, 0, 1), (10, 0.0, 18, 0.1, 18, 0.0, 0, 0, 1), (2, 0.0, 24, 0.0, 24, 0.0, 0, 0, 1),
 ]
 
 
@@ -73,8 +83,18 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int]]:
             if any(t == tag for t, _, _ in stack):
                 while stack.pop()[0] != tag:
                     pass
-        elif tag not in VOID and not m[3].endswith("/") and (tag not in ("p", "li", "dt", "dd", "tr", "td", "th", "option")):
-            stack.append((tag, tag in ASIDE or bool(NAMED.search(m[3])), tag in ("article", "main") or bool(MAIN.search(m[3]))))
+        elif tag not in VOID and not m[3].endswith("/"):
+            if stack and stack[-1][0] == "p":
+                stack.pop()
+            ended, upto = CLOSES.get(tag, (frozenset(), frozenset()))
+            for k in range(len(stack) - 1, -1, -1) if ended else ():
+                if stack[k][0] in upto:
+                    break
+                if stack[k][0] in ended:
+                    del stack[k:]
+                    break
+            named = tag not in WHOLE and bool(NAMED.search(m[3]))
+            stack.append((tag, tag in ASIDE or named, tag in ("article", "main") or bool(MAIN.search(m[3]))))
     add(page[at:])
     close()
     return found

@@ -335,3 +335,12 @@ def test_pipeline(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] and len(corpus_pipeline.STAGES) == 5
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.where("false"), SF).columns == docs.columns
+
+
+def test_html_side_content_by_name_and_open_tags():
+    """Named paragraphs, list items and cells are left out alone; tags without an end close where HTML says so."""
+    tree, long_ = html_text.trained(), " ".join(["word"] * 30)
+    page = f'<body class="no-sidebar"><main><h1>T</h1><p>{long_}<p class="notice">N<p>a<ul><li>b<li class=ad>X<li>c</ul><section class="post_comments"><p>{long_}</section><figure><figcaption>d</figcaption></figure></main>'
+    assert html_text.main_text(page, tree) == f"T {long_} a b c d"
+    plain = f'<div class="top-nav"><a href=x>N</a></div><div><h1>My head</h1><p>{long_}</p><p>Yes.</p><p>{long_} <a href=y>z</a></p><p>The end.</p></div><footer>F</footer>'
+    assert html_text.main_text(plain, tree) == f"My head {long_} Yes. {long_} z The end."
