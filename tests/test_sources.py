@@ -1,0 +1,46 @@
+"""Readers and the reconciling sink on small files."""
+
+import json
+
+import pytest
+
+from corvane.sources import readers, sinks
+
+
+def test_json(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([{"uuid": "x", "name": "N"}, {"uuid": "y", "name": None}]))
+    (tmp_path / "b.json").write_text(json.dumps({"uuid": "z", "name": "M"}))
+    assert sorted(r.uuid for r in readers.json_records(spark, str(tmp_path), "uuid string, name string").collect()) == ["x", "y", "z"]
+
+
+def test_json_lines(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"n": 1}\n\n{"n": 2}\n{"n": ')
+    (tmp_path / "b.jsonl").write_text('{"n": 1}\n{"n"\n{"n": 3}\n')
+    found = sorted((r.file[-7:], r.block, r.line_id, r.state) for r in readers.json_lines(spark, str(tmp_path)).collect())
+    assert [(f, s) for f, _, _, s in found] == [("a.jsonl", "record"), ("a.jsonl", "record"), ("a.jsonl", "truncated"), ("b.jsonl", "record"), ("b.jsonl", "fault"), ("b.jsonl", "record")]
+
+
+def test_csv_strict(spark, tmp_path):
+    (tmp_path / "good.csv").write_text("a,b\n1,x\n")
+    (tmp_path / "bad.csv").write_text("a,b\n1,x,y\n")
+    assert readers.csv_strict(spark, str(tmp_path / "good.csv"), "a int, b string").collect() == [(1, "x")]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.csv_strict(spark, str(tmp_path / "bad.csv"), "a int, b string").collect()
+
+
+def test_alias_lists(spark, tmp_path):
+    (tmp_path / "list.txt").write_text("# note\nturn = step, move # two\n\nplain\n")
+    assert [tuple(r) for r in readers.alias_lists(spark, str(tmp_path / "list.txt")).collect()] == [("turn", ["step", "move"]), ("plain", [])]
+
+
+def test_paired(spark):
+    files = spark.createDataFrame([("d/data-1.zip",), ("d/manifest-1.json",), ("d/data-2.zip",), ("d/manifest-3.json",), ("d/other",)], "path string")
+    found = readers.paired(files, "data-*.zip", "manifest-*.json").orderBy("star").collect()
+    assert [tuple(r) for r in found] == [("1", "d/data-1.zip", "d/manifest-1.json", None), ("2", "d/data-2.zip", None, "record"), ("3", None, "d/manifest-3.json", "datum")]
+
+
+def test_actions(spark):
+    row = "name string, identity string, digest string"
+    held = spark.createDataFrame([("a", "1", "p"), ("b", "2", "q"), ("c", "3", "r"), ("e", "5", "t")], row)
+    wanted = spark.createDataFrame([("a", "1", "p"), ("b2", "2", "q"), ("d", "4", "s"), ("e", "5", "u")], row)
+    assert {(r.name, r.action) for r in sinks.actions(held, wanted).collect()} == {("a", "unchanged"), ("b2", "renamed"), ("c", "pruned"), ("d", "written"), ("e", "written")}
