@@ -1,15 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds join passages to test items, Smith-Waterman scores the copies.
+"""Benchmark decontamination: rare seeds lead passages to test items, Smith-Waterman scores the copies.
 
 The benchmark is the stated query set: it is read in blocks of bounded size, and each block meets every
-document. Seeds are the n-grams of an item; ``counts`` gives how many documents hold each (over all
-documents), and an n-gram is a seed while it is rare, or among the rarer half of its item: every item keeps
-seeds, however often it was copied. Where a seed hits, the words around it are aligned with the item.
+document once. Seeds are single words: words put in between, left out or replaced at any distance leave no run
+of two words to rely on, while the similarity bounds how many words of an item a copy can lack. The rarest
+words of an item lead to it, its other words are then counted, and the stretches of text that hold enough of
+them are aligned with it.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,10 +22,12 @@ from pyspark.sql import functions as F
 from corvane.llm.common import batch, bounded_batches, text_of
 
 WORD = re.compile(r"\w+")
-#: Words of a seed; share of the item's words that an alignment must match to count as a copy.
-GRAM, SIMILAR = 5, 0.8
+#: Share of the item's words that an alignment must match to count as a copy.
+SIMILAR = 0.8
 #: Score of a match, and costs of a mismatch and of a gap.
 MATCH, MISMATCH, GAP = 2, 1, 1
+#: Words of text for each word of the item that an alignment can span: matches and what their score can pay for.
+REACH = 1 + MATCH
 #: Characters of benchmark text in a block.
 BLOCK_CHARS = 4 << 20
 
@@ -32,33 +36,43 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def grams_of(words: list[str], size: int) -> list[str]:
-    """The n-grams of an item; a shorter item is one gram of all its words."""
-    size = min(size, len(words))
-    return [" ".join(words[i : i + size]) for i in range(len(words) - size + 1)] if words else []
+class Block:
+    """A block of items: which of them a text may copy, and where.
 
+    A copy matches ``least`` words of its item, so of the item's distinct words it lacks at most as many as
+    the item has words to spare, and it holds at least one of that many and one more: these, the rarest in the
+    block, are the item's seeds. Rarity orders the seeds and never drops an item.
+    """
 
-class Seeds:
-    """The n-grams of a block of items, found in a text by its words."""
-
-    def __init__(self, items: list[tuple[int, list[str]]], size: int, rare: dict[str, bool] | None = None):
-        self.at: dict[tuple[str, ...], list[tuple[int, int]]] = defaultdict(list)
-        for k, (_, words) in enumerate(items):
-            for i, gram in enumerate(grams_of(words, size)):
-                if rare is None or rare.get(f"{k} {gram}", False):
-                    self.at[tuple(gram.split(" "))].append((k, i))
-        self.sizes = sorted({len(g) for g in self.at})
-        self.first = {n: {g[0] for g in self.at if len(g) == n} for n in self.sizes}
-        self.last = {n: {g[-1] for g in self.at if len(g) == n} for n in self.sizes}
-
-    def hits(self, words: list[str]) -> Iterator[tuple[tuple[str, ...], int]]:
-        """(gram, place) of every seed in the words."""
-        for n in self.sizes:
-            first, last = self.first[n], self.last[n]
-            for i in [i for i, (a, b) in enumerate(zip(words, words[n - 1 :], strict=False)) if a in first and b in last]:
-                gram = tuple(words[i : i + n])
-                if gram in self.at:
-                    yield gram, i
+    def __init__(self, items: list[tuple[int, list[str]]], similar: float):
+        self.ids = [i for i, _ in items]
+        self.codes: dict[str, int] = {}
+        self.coded = [np.array([self.codes.setdefault(w, len(self.codes)) for w in words], np.int32) for _, words in items]
+        self.distinct = [frozenset(x.tolist()) for x in self.coded]
+        self.least = [max(1, math.ceil(similar * len(x) - 1e-9)) for x in self.coded]
+        self.need = [max(1, len(d) - len(x) + k) for d, x, k in zip(self.distinct, self.coded, self.least, strict=True)]
+        held = Counter(c for d in self.distinct for c in d)
+        self.seeds: dict[int, list[int]] = defaultdict(list)
+        for k, d in enumerate(self.distinct):
+            for c in sorted(d, key=lambda c: (held[c], c))[: len(d) - self.need[k] + 1]:
+                self.seeds[c].append(k)
+
+    def candidates(self, present: set[int]) -> list[int]:
+        """Items of which the words present leave out no more than a copy may."""
+        met = {k for c in present if c in self.seeds for k in self.seeds[c]}
+        return sorted(k for k in met if len(self.distinct[k] & present) >= self.need[k])
+
+    def stretches(self, k: int, text: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Stretches of the text, of at most six times the item's length, that together hold every copy.
+
+        An alignment has a score above 0, so it spans less than REACH words of text for each word of the item.
+        """
+        span = REACH * len(self.coded[k])
+        total = np.concatenate([[0], np.cumsum(np.isin(text, self.coded[k]))])
+        starts = np.arange(len(text))
+        starts = starts[total[np.minimum(starts + span, len(text))] - total[starts] >= self.least[k]]
+        for part in np.split(starts, np.flatnonzero(np.diff(starts // span)) + 1) if len(starts) else ():
+            yield int(part[0]), min(len(text), int(part[-1]) + span)
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
@@ -89,32 +103,6 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
     return score, matched, j, end
 
 
-def _counts(docs: DataFrame, items: list[tuple[int, list[str]]], size: int) -> dict[str, int]:
-    """Documents that hold each n-gram of the block; at most one row for each n-gram of the block reaches the driver."""
-    seeds = Seeds(items, size)
-    schema = pa.schema([("gram", pa.string()), ("n", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n: dict[str, int] = defaultdict(int)
-        for b in batches:
-            for text in b.column(0).to_pylist():
-                for gram in {g for g, _ in seeds.hits(words_of(text))}:
-                    n[" ".join(gram)] += 1
-        yield batch(schema, [list(n), list(n.values())])
-
-    return {r.gram: r.n for r in docs.select("text").mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()}
-
-
-def _rare(items: list[tuple[int, list[str]]], counts: dict[str, int], size: int, rare: int) -> dict[str, bool]:
-    """Seeds of each item: n-grams in at most ``rare`` documents, and the rarer half in any case."""
-    found = {}
-    for k, (_, words) in enumerate(items):
-        grams = grams_of(words, size)
-        middle = sorted(counts.get(g, 0) for g in grams)[len(grams) // 2] if grams else 0
-        found |= {f"{k} {g}": counts.get(g, 0) <= max(rare, middle) for g in grams}
-    return found
-
-
 def _blocks(benchmark: DataFrame, chars: int) -> Iterator[list[tuple[int, list[str]]]]:
     """The items, block by block."""
     held, size = [], 0
@@ -130,7 +118,7 @@ def _blocks(benchmark: DataFrame, chars: int) -> Iterator[list[tuple[int, list[s
         yield held
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, size: int = GRAM, similar: float = SIMILAR, rare: int = 100, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, similar: float = SIMILAR, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, item_id, score, similarity, start, end): the best alignment of each item that a document copies.
 
     similarity is the share of the item's words that the alignment matches; start and end are word places.
@@ -144,38 +132,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = GRAM, similar: floa
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.int32()), ("similarity", pa.float64()), ("start", pa.int32()), ("end", pa.int32())])
     found = None
     for items in _blocks(benchmark, block_chars):
-        part = plain.mapInArrow(_search(items, Seeds(items, size, _rare(items, _counts(plain, items, size), size, rare)), similar, schema), ddl)
+        part = plain.mapInArrow(_search(Block(items, similar), similar, schema), ddl)
         found = part if found is None else found.union(part)
     return spark.createDataFrame([], ddl) if found is None else found
 
 
-def _search(items: list[tuple[int, list[str]]], seeds: Seeds, similar: float, schema: pa.Schema):
-    vocabulary = {w: i for i, w in enumerate(sorted({w for _, words in items for w in words}))}
-    coded = [np.array([vocabulary[w] for w in words], np.int32) for _, words in items]
-
+def _search(block: Block, similar: float, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                words = words_of(text)
-                places: dict[int, list[int]] = defaultdict(list)
-                for gram, at in seeds.hits(words):
-                    for k, i in seeds.at[gram]:
-                        places[k].append(at - i)
-                if not places:
-                    continue
-                codes = np.array([vocabulary.get(w, -1) for w in words], np.int32)
-                for k, starts in places.items():
-                    n, best, upto = len(coded[k]), None, -(1 << 40)
-                    for s in sorted(set(starts)):
-                        if s <= upto:
-                            continue
-                        upto = s + n // 4  # nearby diagonals fall within the same window
-                        lo, hi = max(0, s - n // 2), min(len(codes), s + n + n // 2 + n // 4 + 1)
-                        score, matched, a, e = align(coded[k], codes[lo:hi])
-                        best = max(best or (-1,), (matched / n, score, lo + a, lo + e))
+                found = [block.codes.get(w, -1) for w in words_of(text)]
+                near = block.candidates(set(found))
+                codes = np.array(found, np.int32) if near else None
+                for k in near:
+                    n, best = len(block.coded[k]), (-1,)
+                    for lo, hi in block.stretches(k, codes):
+                        score, matched, a, e = align(block.coded[k], codes[lo:hi])
+                        best = max(best, (matched / n, score, lo + a, lo + e))
                     if best[0] >= similar:
-                        rows.append((doc_id, items[k][0], best[1], best[0], best[2], best[3]))
+                        rows.append((doc_id, block.ids[k], best[1], best[0], best[2], best[3]))
             if rows:
                 yield batch(schema, [list(x) for x in zip(*rows, strict=True)])
 

@@ -344,3 +344,24 @@ def test_html_side_content_by_name_and_open_tags():
     assert html_text.main_text(page, tree) == f"T {long_} a b c d"
     plain = f'<div class="top-nav"><a href=x>N</a></div><div><h1>My head</h1><p>{long_}</p><p>Yes.</p><p>{long_} <a href=y>z</a></p><p>The end.</p></div><footer>F</footer>'
     assert html_text.main_text(plain, tree) == f"My head {long_} Yes. {long_} z The end."
+
+
+def test_decontamination_of_copies_without_long_runs(spark):
+    """Copies with every fifth word replaced or a word put between any two, and of items that share a stock passage with 101 documents, are found."""
+    item = [f"w{i}" for i in range(40)]
+    stock, rest = [f"s{i}" for i in range(16)], [f"r{i}" for i in range(24)]
+    items = [(1, item), (2, stock + rest), (3, ["five", "words", "in", "one", "item"]), (4, ["ha"] * 10)]
+    copies = {
+        10: (1, [f"x{i}" if i % 5 == 4 else w for i, w in enumerate(item)]),
+        11: (1, [x for i, w in enumerate(item) for x in (w, f"y{i}")]),
+        12: (2, [f"z{i}" if i in (16, 21, 26, 31, 36) else w for i, w in enumerate(stock + rest)]),
+        13: (3, ["five", "words", "by", "one", "item"]),
+        14: (4, ["ha"] * 8),
+    }
+    texts = [(d, ["before", "it", *w, "after"]) for d, (_, w) in copies.items()] + [(15, [f"x{i}" if i % 5 == 4 or i == 0 else w for i, w in enumerate(item)]), (16, ["ha"] * 7)]
+    texts += [(100 + i, [*stock, f"t{i}"]) for i in range(101)]
+    docs, bench = (spark.createDataFrame([(i, " ".join(w)) for i, w in x], f"{k} long, text string") for k, x in (("doc_id", texts), ("item_id", items)))
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()} == {(d, k) for d, (k, _) in copies.items()}
+    assert decontaminate.clean(docs, bench).count() == 103
+    one_each = decontaminate.leaks(docs, bench, block_chars=1)
+    assert {(r.doc_id, r.item_id) for r in one_each.collect()} == {(d, k) for d, (k, _) in copies.items()}
