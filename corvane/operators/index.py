@@ -13,19 +13,22 @@ def locators(docs: DataFrame, heads: DataFrame, gram: int = GRAM) -> DataFrame:
 
     Inner words of a headword stand whole in any text that contains it, so runs of ``gram`` inner words join
     the two sides by equality; ``contains`` then decides. Headwords too short for such a run join by their
-    longest inner word, or by nothing shorter than a word: those without an inner word are not looked up.
+    longest inner word. Those of one or two words have no inner word and may stand inside longer words: every
+    text is tried against each of them, which Spark does by broadcast while they are few.
     """
     split = F.split("text", " ")
     inner = heads.select("item_id", F.col("text").alias("head"), split.alias("w")).where(F.size("w") > 2)
     run = lambda w, n: F.array_join(w, " ") if n > 1 else w
     long_ = inner.where(F.size("w") >= gram + 2).select("item_id", "head", run(F.slice("w", 2, gram), gram).alias("k"))
-    short = inner.where(F.size("w") < gram + 2).select("item_id", "head", F.get("w", F.lit(1)).alias("k"))
+    short = inner.where(F.size("w") < gram + 2).select("item_id", "head", F.expr("array_max(transform(slice(w, 2, size(w) - 2), x -> struct(length(x) as n, x as x))).x").alias("k"))
     words = docs.select("doc_id", split.alias("w"))
     grams = words.select("doc_id", F.explode(F.array_distinct(F.expr(f"transform(slice(w, 1, greatest(0, size(w) - {gram - 1})), (x, i) -> array_join(slice(w, i + 1, {gram}), ' '))"))).alias("k"))
     ones = words.select("doc_id", F.explode(F.array_distinct("w")).alias("k"))
     pairs = grams.join(long_, "k").union(ones.join(short, "k")).select("doc_id", "item_id").distinct()
     texts = docs.select("doc_id", "text").join(pairs, "doc_id").join(heads.select("item_id", F.col("text").alias("head")), "item_id")
-    return texts.where(F.contains("text", "head")).select("item_id", "doc_id")
+    by_words = texts.where(F.contains("text", "head")).select("item_id", "doc_id")
+    brief = heads.where(F.size(split) <= 2).select("item_id", F.col("text").alias("head"))
+    return by_words.union(docs.select("doc_id", "text").join(brief, F.contains("text", "head")).select("item_id", "doc_id"))
 
 
 def orphans(heads: DataFrame, found: DataFrame) -> DataFrame:
