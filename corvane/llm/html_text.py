@@ -29,7 +29,7 @@ MAIN = re.compile(r"""\brole\s*=\s*["']?main\b""", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 #: Labelled blocks: words, link density, the same of the block before and after, inside a side container, inside the
-#: article (-1: outside it, on a page that has one), label. Hand-labelled from page layouts written for this table.
+#: article (-1: outside it, on a page that has one beside its side containers), label. Hand-labelled from page layouts written for this table.
 LABELLED = [
     (1, 1.0, 0, 0.0, 1, 1.0, 1, 0, 0), (2, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0), (1, 1.0, 2, 1.0, 9, 0.0, 1, 0, 0), (9, 0.0, 1, 1.0, 12, 0.0, 1, 0, 0), (12, 0.0, 9, 0.0, 80, 0.0, 0, 1, 1),
     (80, 0.0, 12, 0.0, 60, 0.0, 0, 1, 1), (60, 0.1, 80, 0.0, 30, 0.0, 0, 1, 1), (3, 0.0, 60, 0.0, 45, 0.0, 0, 1, 1), (45, 0.0, 3, 0.0, 8, 0.0, 0, 1, 1), (8, 0.0, 45, 0.0, 14, 0.2, 0, 1, 1),
@@ -135,7 +135,7 @@ def trained() -> Tree:
 
 def main_text(page: str, tree: Tree) -> str:
     got, nobody = blocks(page), ("", 0, 0.0, 0, 0)
-    kept, outside = [], -int(any(article for *_, article in got))
+    kept, outside = [], -int(any(article and not aside for *_, aside, article in got))
     for i, (text, n, density, aside, article) in enumerate(got):
         before, after = got[i - 1] if i else nobody, got[i + 1] if i + 1 < len(got) else nobody
         if tree.says((n, density, before[1], before[2], after[1], after[2], aside, article or outside)):

@@ -365,3 +365,12 @@ def test_decontamination_of_copies_without_long_runs(spark):
     assert decontaminate.clean(docs, bench).count() == 103
     one_each = decontaminate.leaks(docs, bench, block_chars=1)
     assert {(r.doc_id, r.item_id) for r in one_each.collect()} == {(d, k) for d, (k, _) in copies.items()}
+
+
+def test_html_comments_and_cards_as_articles():
+    """Articles inside side containers do not make the text beside them foreign; an article of the page itself still does."""
+    tree, long_ = html_text.trained(), " ".join(["word"] * 40)
+    body = f"<div><h1>My own head</h1><p>{long_}</p><p>{long_}</p></div>"
+    side = "<div class=comments><article><p>Nice one!</p></article><article><p>I do not think so at all, sorry.</p></article></div><div class='related'><article><a href=x>Next</a></article></div>"
+    assert html_text.main_text(body + side, tree) == f"My own head {long_} {long_}"
+    assert html_text.main_text(f"<article>{body}</article><div><p>{long_} outside</p></div>{side}", tree) == f"My own head {long_} {long_}"
