@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvane.functions.text import words
+
 GRAM = 5
 
 
@@ -34,3 +36,18 @@ def locators(docs: DataFrame, heads: DataFrame, gram: int = GRAM) -> DataFrame:
 def orphans(heads: DataFrame, found: DataFrame) -> DataFrame:
     """Headwords without a locator."""
     return heads.join(found, "item_id", "left_anti").select("item_id")
+
+
+def uncovered(docs: DataFrame, heads: DataFrame, rejected: DataFrame, top: int = 50) -> DataFrame:
+    """word, docs, count: the words in most documents that no headword covers and that are not rejected.
+
+    A headword covers the words in which it stands between word boundaries: ``well`` covers ``well-known``. It is
+    then a run of the word's parts, letters or a single mark, so the two sides join by equality.
+    """
+    found = docs.select("doc_id", F.explode(words(F.col("text"))).alias("word")).groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+    ranked = found.groupBy("word").agg(F.count("doc_id").alias("docs"), F.sum("n").alias("count"))
+    parts = ranked.select("word", F.regexp_extract_all("word", F.lit("[a-z]+|['-]"), F.lit(0)).alias("p"))
+    runs = parts.select("word", F.explode(F.expr("flatten(transform(sequence(1, size(p)), i -> transform(sequence(1, size(p) - i + 1), n -> array_join(slice(p, i, n), ''))))")).alias("head"))
+    covered = runs.join(heads.select(F.lower("text").alias("head")), "head", "left_semi").select("word")
+    gone = covered.union(rejected.select(F.lower("text").alias("word")))
+    return ranked.join(gone, "word", "left_anti").orderBy(F.desc("docs"), F.desc("count"), "word").limit(top)

@@ -241,6 +241,16 @@ def uncovered_words_top(spark, sf_dir):
     return per.groupBy("word").agg(F.count("*").alias("docs"), F.sum("n").alias("count")).orderBy(F.desc("docs"), F.desc("count"), "word").limit(50)
 
 
+@query(f"""with t as (select item_id, unnest(regexp_extract_all(lower(text), '[a-z]{{3,}}')) as term from benchmark),
+    w as (select word, count(distinct doc_id) as docs, count(*) as "count" from (select doc_id, unnest(regexp_extract_all(lower(text), '[a-z][a-z''\\-]{{2,}}')) as word from documents) where word not in ({_STOPS}) group by word)
+    select word, docs, "count" from w where word not in (select term from t where item_id % 2 = 1)
+    and not exists (select 1 from (select distinct term from t where item_id % 2 = 0) h where contains(w.word, h.term) and regexp_matches(w.word, '\\b' || h.term || '\\b')) order by 2 desc, 3 desc, 1 limit 50""")
+def uncovered_words(spark, sf_dir):
+    """Documents of all languages; the words of even benchmark items stand in for the headwords, those of odd ones for the rejected list."""
+    terms = table(spark, sf_dir, "benchmark").select("item_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0))).alias("text"))
+    return index.uncovered(table(spark, sf_dir, "documents"), terms.where("item_id % 2 = 0"), terms.where("item_id % 2 = 1"))
+
+
 @query("""select count(*) filter (d.doc_id is not null and l.doc_id is not null) as captured, count(*) filter (l.doc_id is null) as never, count(*) filter (d.doc_id is null) as gone, count(*) as total
     from (select distinct doc_id from documents where doc_id % 10 <> 3) d full join (select distinct doc_id from labels) l on d.doc_id = l.doc_id""")
 def capture_coverage(spark, sf_dir):

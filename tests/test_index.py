@@ -13,3 +13,12 @@ def test_locators_of_heads_of_any_length(spark):
     found = index.locators(docs, heads)
     assert sorted((r.item_id, r.doc_id) for r in found.collect()) == want
     assert {r.item_id for r in index.orphans(heads, found).collect()} == set(range(len(HEADS))) - {k for k, _ in want}
+
+
+def test_uncovered_words_of_all_languages(spark):
+    docs = spark.createDataFrame([(1, "well-known harbour and swell", "en"), (2, "harbour maison maison Noise", "fr"), (3, "maison wellness", "de"), (4, None, "en")], "doc_id long, text string, lang string")
+    heads = spark.createDataFrame([("Well",), ("two words",), (None,)], "text string")
+    rejected = spark.createDataFrame([("noise",), (None,)], "text string")
+    found = [tuple(r) for r in index.uncovered(docs, heads, rejected).collect()]
+    assert found == [("maison", 2, 3), ("harbour", 2, 2), ("swell", 1, 1), ("wellness", 1, 1)]
+    assert index.uncovered(docs, heads.where("false"), rejected.where("false")).count() == 6
