@@ -8,6 +8,7 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -18,10 +19,13 @@ from pyspark.sql import functions as F
 from corvane.llm.common import batch, bounded_batches, cut, shared_dir, text_of
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+#: Record ids of our own pages; ids of foreign archives give no page_id.
+OWN = "urn:x-page:"
+#: Archives that one task reads at most follow from this many tasks.
+MAX_TASKS = 10_000
 PAGES = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
-                   ("record_type", pa.string()), ("refers_to", pa.int64())])
-PAGES_DDL = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
+                   ("record_type", pa.string()), ("refers_to", pa.int64()), ("record_id", pa.string())])
+PAGES_DDL = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string"
 
 
 def sha1_base32(data: bytes) -> str:
@@ -29,21 +33,23 @@ def sha1_base32(data: bytes) -> str:
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str, level: int = 6) -> bytes:
-    """One gzip member. A revisit carries the HTTP header alone; length and digest are those of the full payload."""
-    block = HTTP if refers_to is not None else HTTP + payload
-    uri = (url or "urn:none").encode("ascii", "backslashreplace").decode()
+    """One gzip member. A revisit carries the HTTP header alone; its Content-Length and payload digest are those of the full payload."""
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
+    block, digest = http if refers_to is not None else http + payload, sha1_base32(payload)
+    uri = quote(url or "urn:none", safe="%:/?#[]@!$&'()*+,;=~")
     head = {
         "WARC-Type": "response" if refers_to is None else "revisit",
-        "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page {page_id}')}>",
+        "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{url} {digest}')}>" if page_id is None else f"<{OWN}{page_id}>",
         "WARC-Date": date,
-        "WARC-Target-URI": "".join(c if c.isprintable() and c != " " else f"%{ord(c):02X}" for c in uri),
-        "X-Page": json.dumps([page_id, url, refers_to, len(payload)]),
+        "WARC-Target-URI": uri,
         "Content-Type": "application/http; msgtype=response",
-        "WARC-Payload-Digest": f"sha1:{sha1_base32(payload)}",
+        "WARC-Payload-Digest": f"sha1:{digest}",
         "WARC-Block-Digest": f"sha1:{sha1_base32(block)}",
     }
+    if uri != url:  # what a URI cannot say, null included
+        head["X-Url"] = json.dumps(url)
     if refers_to is not None:
-        head |= {"WARC-Profile": PROFILE, "WARC-Refers-To": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page {refers_to}')}>"}
+        head |= {"WARC-Profile": PROFILE, "WARC-Refers-To": f"<{OWN}{refers_to}>"}
     lines = "".join(f"{k}: {v}\r\n" for k, v in {**head, "Content-Length": len(block)}.items())
     pack = zlib.compressobj(level, zlib.DEFLATED, 31)
     return pack.compress(b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + block + b"\r\n\r\n") + pack.flush()
@@ -62,18 +68,64 @@ def members(stream, size: int = 1 << 16) -> Iterator[bytes]:
         raise ValueError("the archive ends within a record")
 
 
+def header_fields(lines: list[str]) -> dict[str, str]:
+    """Fields by lower-case name; a line that begins with white space continues the one before it."""
+    fields, name = {}, ""
+    for line in lines:
+        if line[:1] in (" ", "\t") and name:
+            fields[name] += " " + line.strip()
+        else:
+            name, _, value = line.partition(":")
+            name = name.strip().lower()
+            fields[name] = value.strip()
+    return fields
+
+
+def verify(data: bytes, digest: str | None, what: str) -> None:
+    """Raise where the data does not have its digest; no digest, or one by an algorithm unknown here, proves nothing."""
+    algorithm, _, value = (digest or "").partition(":")
+    algorithm = algorithm.lower().replace("-", "")
+    if value and algorithm in hashlib.algorithms_guaranteed and not algorithm.startswith("shake"):
+        found = hashlib.new(algorithm, data)
+        if value.upper().rstrip("=") not in (base64.b32encode(found.digest()).decode().rstrip("="), found.hexdigest().upper()):
+            raise ValueError(f"a {what} does not have its digest")
+
+
 def parse(member: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers and block of a record; length and block digest are verified."""
+    """Fields and block of a record; length and block digest are verified."""
     head, _, rest = member.partition(b"\r\n\r\n")
-    version, *lines = head.decode().split("\r\n")
-    headers = dict(x.split(": ", 1) for x in lines)
-    n = int(headers["Content-Length"])
-    block = rest[:n]
+    version, *lines = head.decode("utf-8", "replace").split("\r\n")
+    fields = header_fields(lines)
+    n = int(fields.get("content-length", -1))
+    block = rest[: max(n, 0)]
     if not version.startswith("WARC/") or len(block) != n or rest[n:] != b"\r\n\r\n":
         raise ValueError("a record is not framed by its content length")
-    if headers["WARC-Block-Digest"] != f"sha1:{sha1_base32(block)}":
-        raise ValueError("a block does not have its digest")
-    return headers, block
+    verify(block, fields.get("warc-block-digest"), "block")
+    return fields, block
+
+
+def page_of(fields: dict[str, str], block: bytes) -> tuple | None:
+    """The row of a response, revisit or resource record; None for records of other types."""
+    kind = fields.get("warc-type", "").lower()
+    if kind not in ("response", "revisit", "resource"):
+        return None
+    http, payload, declared = {}, block, None
+    if fields.get("content-type", "").lower().startswith("application/http"):
+        head, _, payload = block.partition(b"\r\n\r\n")
+        http = header_fields(head.decode("utf-8", "replace").split("\r\n")[1:])
+        declared = int(http["content-length"]) if http.get("content-length", "").isdigit() else None
+    digest = fields.get("warc-payload-digest")
+    if kind == "revisit":
+        payload, size = None, declared
+    else:
+        size = len(payload)
+        if "transfer-encoding" not in http:  # digests of a payload that travels in chunks may be of either form
+            verify(payload, digest, "payload")
+        digest = digest or f"sha1:{sha1_base32(payload)}"
+    own = lambda name: int(x.removeprefix(OWN)) if (x := fields.get(name, "").strip("<>")).startswith(OWN) else None
+    url = json.loads(fields["x-url"]) if "x-url" in fields else fields.get("warc-target-uri", "").strip("<>") or None
+    bare = (digest or "").partition(":")[2] or None
+    return own("warc-record-id"), url, payload, size, bare, kind, own("warc-refers-to"), fields.get("warc-record-id", "").strip("<>") or None
 
 
 def write(pages: DataFrame, min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
@@ -81,7 +133,8 @@ def write(pages: DataFrame, min_bytes: int = 0, date: str = "2024-01-01T00:00:00
 
     Among equal payloads of at least ``min_bytes`` the smallest page_id is the response and others revisit it;
     several rows with that page_id are all responses. A null html is the empty payload, a null url stays null.
-    Rows without page_id are responses unless a page with their payload has one.
+    Rows without page_id are responses unless a page with their payload has one. Very long pages are written
+    whole, as one record each; an empty table writes no archive; other columns are ignored.
     """
     spark = pages.sparkSession
     bounded_batches(spark)
@@ -113,7 +166,12 @@ def write(pages: DataFrame, min_bytes: int = 0, date: str = "2024-01-01T00:00:00
 
 
 def read(paths: DataFrame, folder: str) -> DataFrame:
-    """Rows of the archives at ``path``; each archive is read in sequence, record by record, and verified."""
+    """Rows of the archives at ``path``; each archive is read in sequence, record by record, and verified.
+
+    One archive goes to one task, and as many tasks run as there are archives (at most MAX_TASKS). Records of
+    other types than response, revisit and resource are verified and passed over. Archives of other writers
+    give null page_id and refers_to; record_id is that of the record. No path, or an empty archive, gives no rows.
+    """
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
@@ -122,13 +180,10 @@ def read(paths: DataFrame, folder: str) -> DataFrame:
                 rows, held = [], 0
                 with store.open_input_stream(path, compression=None) as stream:
                     for member in members(stream):
-                        headers, block = parse(member)
-                        page_id, url, refers_to, n = json.loads(headers["X-Page"])
-                        payload = block.partition(b"\r\n\r\n")[2] if headers["WARC-Type"] == "response" else None
-                        found = headers["WARC-Payload-Digest"].removeprefix("sha1:")
-                        if payload is not None and (len(payload) != n or sha1_base32(payload) != found):
-                            raise ValueError("a payload does not have its digest")
-                        rows.append((page_id, url, payload, n, found, headers["WARC-Type"], refers_to))
+                        page = page_of(*parse(member))
+                        if page is None:
+                            continue
+                        rows.append(page)
                         held += len(member)
                         if held > 4 << 20:
                             yield batch(PAGES, [list(x) for x in zip(*rows, strict=True)])
@@ -136,11 +191,12 @@ def read(paths: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield batch(PAGES, [list(x) for x in zip(*rows, strict=True)])
 
-    return paths.repartition("path").mapInArrow(load, PAGES_DDL)
+    # a stated number of partitions is kept by adaptive execution; by path it would make one of such short rows
+    return paths.repartition(min(MAX_TASKS, max(1, paths.count()))).mapInArrow(load, PAGES_DDL)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Write the pages and read them back: page_id, url, payload (null for revisits), payload_bytes, payload_digest, record_type, refers_to."""
+    """Write the pages and read them back: page_id, url, payload (null for revisits), payload_bytes, payload_digest, record_type, refers_to, record_id."""
     return read(write(pages, min_bytes), shared_dir(pages.sparkSession))
 
 
