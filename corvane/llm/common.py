@@ -9,6 +9,7 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -22,9 +23,11 @@ def bounded_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where it is unset (local tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Where it is unset, one of our own on a local master; elsewhere an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = os.path.join(tempfile.gettempdir(), "checkpoints")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -49,6 +52,23 @@ def text_of(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash over all columns of a row; columns of types that cannot be hashed as they are go in as JSON."""
+    plain = lambda t: isinstance(t, T.AtomicType)
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    return F.xxhash64(*[quoted(f.name) if plain(f.dataType) else F.to_json(F.struct(quoted(f.name))) for f in df.schema])
+
+
+def nested(df: DataFrame, name: str = "row") -> DataFrame:
+    """All columns as one struct, so that no name of theirs can clash with those of an operator."""
+    return df.select(F.struct("*").alias(name))
+
+
+def unnested(df: DataFrame, columns: list[str], name: str = "row", **replaced: Column) -> DataFrame:
+    """The columns of the struct again, some of them replaced."""
+    return df.select(*[replaced[c].alias(c) if c in replaced else F.col(name).getField(c).alias(c) for c in columns])
+
+
 def batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     """A record batch of plain lists or numpy arrays."""
     return pa.RecordBatch.from_arrays(

@@ -28,7 +28,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(u, v) links -> (node, root): the least node that each linked node can reach; nodes without links are absent.
+    """(u, v) links of any ordered type -> (node, root): the least node that each linked node can reach; nodes without links are absent.
 
     Each round is written to the shared folder. The rounds end when the set of links no longer changes;
     their number grows with the logarithm of the longest chain. An empty input gives an empty result.

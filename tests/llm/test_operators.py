@@ -173,9 +173,9 @@ def test_covering_finds_every_pair(spark):
     prints |= set(hot)
     ids = sorted(prints)
     want = classes({i: x & ((1 << 64) - 1) for i, x in enumerate(ids)})
-    df = spark.createDataFrame([(x,) for x in ids], "fp long")
+    df = spark.createDataFrame([(x, x) for x in ids], "id long, fp long")
     for block in (1024, 16):
-        root = {r.node: r.root for r in components(simhash.near_links(df, 4, block)).collect()}
+        root = {r.node.fp: r.root.fp for r in components(simhash.near_links(df, 4, block)).collect()}
         got = defaultdict(set)
         for i, x in enumerate(ids):
             got[root.get(x, x)].add(i)
