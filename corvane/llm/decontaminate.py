@@ -1,25 +1,28 @@
 """Benchmark decontamination: rare seeds lead passages to test items, Smith-Waterman scores the copies.
 
-The benchmark is the stated query set: it is read in blocks of bounded size, and each block meets every
-document once. Seeds are single words: words put in between, left out or replaced at any distance leave no run
-of two words to rely on, while the similarity bounds how many words of an item a copy can lack. The rarest
-words of an item lead to it, its other words are then counted, and the stretches of text that hold enough of
-them are aligned with it.
+The benchmark is the stated query set: Spark deals its items into blocks of bounded size in the shared folder,
+and each block meets every document once; the items never pass through the driver. Seeds are single words:
+words put in between, left out or replaced at any distance leave no run of two words to rely on, while the
+similarity bounds how many words of an item a copy can lack. The rarest words of an item lead to it, its other
+words are then counted, and the stretches of text that hold enough of them are aligned with it.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import batch, bounded_batches, text_of
+from corvane.llm.common import batch, bounded_batches, shared_dir, text_of
 
 WORD = re.compile(r"\w+")
 #: Share of the item's words that an alignment must match to count as a copy.
@@ -62,6 +65,17 @@ class Block:
         met = {k for c in present if c in self.seeds for k in self.seeds[c]}
         return sorted(k for k in met if len(self.distinct[k] & present) >= self.need[k])
 
+    def search(self, text: str | None, similar: float) -> Iterator[tuple[int, int, float, int, int]]:
+        """(item_id, score, similarity, start, end) of each stretch of the text that copies an item."""
+        found = [self.codes.get(w, -1) for w in words_of(text)]
+        near = self.candidates(set(found))
+        codes = np.array(found, np.int32) if near else None
+        for k in near:
+            for lo, hi in self.stretches(k, codes):
+                score, matched, a, e = align(self.coded[k], codes[lo:hi])
+                if matched / len(self.coded[k]) >= similar:
+                    yield self.ids[k], score, matched / len(self.coded[k]), lo + a, lo + e
+
     def stretches(self, k: int, text: np.ndarray) -> Iterator[tuple[int, int]]:
         """Stretches of the text, of at most six times the item's length, that together hold every copy.
 
@@ -78,93 +92,110 @@ class Block:
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
     """Best local alignment: (score, matched words, start, end in the text), linear gap cost.
 
-    One row of the matrix per item word; gaps along the text are a running maximum. The path is traced back
-    to count matches.
+    One row of the matrix per item word; gaps along the text are a running maximum. Each cell carries the
+    matches and the start of its best path, so memory is linear in the text however long the item is. Of equal
+    predecessors the diagonal one counts, then the one above.
     """
-    n, m = len(item), len(text)
-    table = np.zeros((n + 1, m + 1), np.int32)
-    slope = GAP * np.arange(m + 1, dtype=np.int32)
-    for i in range(1, n + 1):
-        row = np.zeros(m + 1, np.int32)
-        row[1:] = np.maximum(table[i - 1, :-1] + np.where(text == item[i - 1], MATCH, -MISMATCH), table[i - 1, 1:] - GAP)
-        np.maximum(row, 0, out=row)
-        table[i] = np.maximum.accumulate(row + slope) - slope
-    i, j = (int(x) for x in np.unravel_index(np.argmax(table), table.shape))
-    score, end, matched = int(table[i, j]), j, 0
-    while table[i, j] > 0:
-        same = text[j - 1] == item[i - 1]
-        if table[i, j] == table[i - 1, j - 1] + (MATCH if same else -MISMATCH):
-            matched += int(same)
-            i, j = i - 1, j - 1
-        elif table[i, j] == table[i - 1, j] - GAP:
-            i -= 1
+    m = len(text)
+    places = np.arange(m + 1)
+    slope = (GAP * places).astype(np.int32)
+    score, hits, first = np.zeros(m + 1, np.int32), np.zeros(m + 1, np.int32), places
+    best = (0, 0, 0, 0)
+    for word in item:
+        same = text == word
+        diagonal, above = score[:-1] + np.where(same, MATCH, -MISMATCH), score[1:] - GAP
+        across = diagonal >= above
+        s = np.where(across, diagonal, above)
+        alive = s > 0
+        row = np.concatenate([[0], np.where(alive, s, 0)]).astype(np.int32) + slope
+        h = np.concatenate([[0], np.where(alive, np.where(across, hits[:-1] + same, hits[1:]), 0)]).astype(np.int32)
+        f = np.concatenate([[0], np.where(alive, np.where(across, first[:-1], first[1:]), places[1:])])
+        top = np.maximum.accumulate(row)
+        source = np.maximum.accumulate(np.where(row == top, places, 0))
+        score, hits, first = top - slope, h[source], f[source]
+        j = int(np.argmax(score))
+        if score[j] > best[0]:
+            best = int(score[j]), int(hits[j]), int(first[j]), j
+    return best
+
+
+def _blocks(benchmark: DataFrame, chars: int) -> list[str]:
+    """Folders of the blocks of items, dealt by a hash of the item's id; written by the executors."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of("text").alias("text")).where("item_id is not null and text <> ''")
+    n = math.ceil((items.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0) / chars)
+    path = f"{shared_dir(benchmark.sparkSession)}/items-{uuid.uuid4().hex}"
+    if n:
+        items.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(n))).repartition("block").write.partitionBy("block").parquet(path)
+    return [f"{path}/block={k}" for k in range(n)]
+
+
+_LOADED: dict[tuple[str, float], Block] = {}
+
+
+def _loaded(path: str, similar: float) -> Block:
+    """The block of that folder; a worker keeps the one it read last."""
+    if (path, similar) not in _LOADED:
+        _LOADED.clear()
+        store, root = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+        if store.get_file_info(root).type == fs.FileType.NotFound:  # no item fell into this block
+            rows = []
         else:
-            j -= 1
-    return score, matched, j, end
-
-
-def _blocks(benchmark: DataFrame, chars: int) -> Iterator[list[tuple[int, list[str]]]]:
-    """The items, block by block."""
-    held, size = [], 0
-    for row in benchmark.select(F.col("item_id").cast("long"), text_of("text").alias("text")).where("item_id is not null").toLocalIterator():
-        words = words_of(row.text)
-        if words:
-            held.append((row.item_id, words))
-            size += len(row.text)
-        if size >= chars:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+            rows = sorted((r["item_id"], r["text"]) for r in pq.read_table(root, filesystem=store, columns=["item_id", "text"], partitioning=None).to_pylist())
+        _LOADED[path, similar] = Block([(i, words) for i, t in rows if (words := words_of(t))], similar)
+    return _LOADED[path, similar]
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similar: float = SIMILAR, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(doc_id, item_id, score, similarity, start, end): the best alignment of each item that a document copies.
+    """(doc_id, item_id, score, similarity, start, end): the best alignment in each stretch of a document that copies an item.
 
     similarity is the share of the item's words that the alignment matches; start and end are word places.
     Null or empty texts, items without words and items without id match nothing; a null doc_id stays null;
-    repeated rows give repeated results; empty tables give no rows.
+    repeated rows give repeated results; empty tables give no rows; other columns are ignored. Texts and items
+    may be very long: an alignment holds a few numbers for each word of its stretch.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
     ddl = "doc_id long, item_id long, score int, similarity double, start int, end int"
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.int32()), ("similarity", pa.float64()), ("start", pa.int32()), ("end", pa.int32())])
-    found = None
-    for items in _blocks(benchmark, block_chars):
-        part = plain.mapInArrow(_search(Block(items, similar), similar, schema), ddl)
-        found = part if found is None else found.union(part)
-    return spark.createDataFrame([], ddl) if found is None else found
 
+    def search(path: str):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                block = _loaded(path, similar)
+                rows = [(i, *found) for i, t in zip(*(c.to_pylist() for c in b.columns), strict=True) for found in block.search(t, similar)]
+                if rows:
+                    yield batch(schema, [list(x) for x in zip(*rows, strict=True)])
 
-def _search(block: Block, similar: float, schema: pa.Schema):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                found = [block.codes.get(w, -1) for w in words_of(text)]
-                near = block.candidates(set(found))
-                codes = np.array(found, np.int32) if near else None
-                for k in near:
-                    n, best = len(block.coded[k]), (-1,)
-                    for lo, hi in block.stretches(k, codes):
-                        score, matched, a, e = align(block.coded[k], codes[lo:hi])
-                        best = max(best, (matched / n, score, lo + a, lo + e))
-                    if best[0] >= similar:
-                        rows.append((doc_id, block.ids[k], best[1], best[0], best[2], best[3]))
-            if rows:
-                yield batch(schema, [list(x) for x in zip(*rows, strict=True)])
-
-    return run
-
-
-def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of documents that copy no item, with all their columns; rows without doc_id are judged by their text alone."""
-    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.sha2(text_of("text"), 256))))
-    bad = leaks(docs.where("doc_id is not null"), benchmark, **options).select(F.col("doc_id").cast("string").alias("_key"))
-    unnamed = docs.where("doc_id is null").select(F.xxhash64("text").alias("doc_id"), "text", F.concat(F.lit("text "), F.sha2(text_of("text"), 256)).alias("_key"))
-    bad_unnamed = leaks(unnamed, benchmark, **options).join(unnamed.select("doc_id", "_key"), "doc_id").select("_key")
-    return keyed.join(bad.union(bad_unnamed).distinct(), "_key", "left_anti").select(docs.columns)
+        return run
+
+    found = spark.createDataFrame([], ddl)
+    for n, path in enumerate(_blocks(benchmark, block_chars)):
+        part = plain.mapInArrow(search(path), ddl)
+        found = found.union(part) if n else part
+    return found
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, similar: float = SIMILAR, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows whose text copies no item, with all their columns, whatever their names; each row is judged by its own text alone.
+
+    Null ids and repeated rows need no care: rows are let through or not where they stand, without a shuffle.
+    Null and empty texts copy nothing.
+    """
+    bounded_batches(docs.sparkSession)
+    at = docs.columns.index("text")
+
+    def kept(path: str):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                block = _loaded(path, similar)
+                yield b.filter(pa.array([next(block.search(t, similar), None) is None for t in b.column(at).to_pylist()], pa.bool_()))
+
+        return run
+
+    for path in _blocks(benchmark, block_chars):
+        docs = docs.mapInArrow(kept(path), docs.schema)
+    return docs
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
