@@ -109,8 +109,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 6000, prior: float |
     """Fit on at most ``sample`` positives and ``sample`` unlabelled documents, chosen by a hash of doc_id.
 
     Labels of held-out rows are not read. The prior is the share of label 1 among the labels learnt from
-    (0.5 where there are none). Contradictory labels of one document count as its mean. Without positives
-    the score is 0.5 everywhere.
+    (0.5 where there are none). Contradictory labels of one document count as its mean. Of several texts under
+    one doc_id the least counts, so that the model is always the same. Without positives the score is 0.5 everywhere.
     """
     order = F.xxhash64("doc_id", F.lit(7))
     known = labels.where(~held_out() & F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.avg("quality").alias("q"))
@@ -124,7 +124,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 6000, prior: float |
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(2 * N_FEATURES + 1))
     spark = docs.sparkSession
     wanted = spark.createDataFrame([(i, True) for i in good] + [(i, False) for i in free], "doc_id long, good boolean")
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id", "good"])
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "good").agg(F.min("text").alias("text"))
     rows = with_features(texts, ["good"]).collect()
     p, u = np.array([r.x for r in rows if r.good]), np.array([r.x for r in rows if not r.good])
     if not len(p) or not len(u):
@@ -133,14 +133,25 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 6000, prior: float |
 
 
 def score(docs: DataFrame, labels: DataFrame, sample: int = 6000) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row; a null text is scored as the empty one."""
+    """doc_id, held_out, score, predicted for every row; a null text is scored as the empty one.
+
+    Texts are scored whole, however long. Repeated rows and null ids stay, one result each; other columns are
+    ignored, whatever their names; an empty table gives no rows.
+    """
     model = learn(docs, labels, sample)
     scored = with_features(docs.select(F.col("doc_id").cast("long"), "text"), ["doc_id"], model)
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = 6000) -> DataFrame:
-    """The rows whose text scores 0.5 or more, with all their columns."""
+    """The rows whose text scores 0.5 or more, with all their columns, whatever their names; null texts as in ``score``."""
     model = learn(docs, labels, sample)
-    scored = with_features(docs.withColumn("_text", F.col("text")), [*[c for c in docs.columns if c != "text"], "_text"], model)
-    return scored.where("score >= 0.5").withColumnRenamed("_text", "text").select(docs.columns)
+    bounded_batches(docs.sparkSession)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = np.array([features(t or "") for t in b.column(at).to_pylist()]).reshape(-1, N_FEATURES)
+            yield b.filter(pa.array(model.score(x) >= 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
