@@ -10,7 +10,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from corvane.llm import decontaminate, pii, quality, simhash, warc
+from corvane.llm import decontaminate, pii, quality, rules, simhash, warc
 from test_operators import LONG, SF
 
 
@@ -93,7 +93,7 @@ def test_stages_keep_rows_and_columns_as_they_are(spark):
     redacted = pii.redact(docs)
     assert redacted.schema == docs.schema and redacted.count() == len(rows)
     assert {r.base for r in redacted.collect()} == {r.base for r in docs.collect()}
-    for stage in (lambda d: decontaminate.clean(d, bench), lambda d: quality.keep_good(d, labels), pii.redact, simhash.keep_one):
+    for stage in (lambda d: decontaminate.clean(d, bench), lambda d: quality.keep_good(d, labels), pii.redact, simhash.keep_one, rules.keep):
         assert stage(docs.where("false")).count() == 0
     assert decontaminate.clean(docs, bench.where("false")).count() == len(rows)
 

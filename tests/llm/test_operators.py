@@ -303,11 +303,13 @@ def test_quality_rules(docs, texts, none):
 
 def test_cascade_order_never_changes_verdicts(docs):
     found = rules.rules()
-    figures = rules.ordered(docs, found, 50)
+    figures = rules.ordered(docs, found, sample=50)
     assert {r.name for r, _, _ in figures} == {r.name for r in found}
     rates = [s / max(t, 1e-6) for _, t, s in figures]
     assert rates == sorted(rates, reverse=True)
-    assert {r.doc_id for r in rules.digest(docs).where("kept").collect()} == {r.doc_id for r in rules.apply(docs, 7).where("kept").collect()}
+    kept = {r.doc_id for r in rules.digest(docs).where("kept").collect()}
+    assert kept == {r.doc_id for r in rules.apply(docs, 7).where("kept").collect()} == {r.doc_id for r in rules.keep(docs).collect()}
+    assert rules.keep(docs).columns == docs.columns and rules.keep(docs.where("false")).count() == 0
 
 
 def test_html(spark):
