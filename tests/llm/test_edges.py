@@ -10,7 +10,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from corvane.llm import decontaminate, pii, quality, rules, simhash, warc
+from corvane.llm import decontaminate, html_text, pii, quality, rules, simhash, warc
 from test_operators import LONG, SF
 
 
@@ -162,3 +162,36 @@ def test_very_many_spans(spark):
     clean = {r.doc_id: r.text for r in pii.redact(docs).collect()}
     assert clean == {1: " ".join(["[EMAIL] [IP]"] * 6_000), 2: None} and time.perf_counter() - began < 60
     assert [(r.n_email, r.n_ip) for r in pii.digest(docs).orderBy("doc_id").collect()] == [(6_000, 6_000), (0, 0)]
+
+
+P = "The harbour was quiet that morning and only two boats went out before the bells of the old church rang nine times over the roofs."
+Q = "Nobody in the town remembered such a winter, and those who did would not speak of it while the children could hear them talk."
+#: Pages of different layouts with their main text, read by hand.
+LAYOUTS = [
+    (f"<body><header><a href=/>Site</a></header><nav><a href=a>One</a> <a href=b>Two</a></nav><main><h1>Winter</h1><p>{P}</p><p>{Q}</p></main><footer>All rights reserved</footer>", f"Winter {P} {Q}"),
+    (f"<div id='nav-main'><a href=a>One</a></div><div class='entry'><h2>Winter</h2><div>{P}</div><div>{Q} <a href=x>More here</a></div></div><div class='sidebar'><h3>Also</h3><p>{P}</p></div>", f"Winter {P} {Q} More here"),
+    (f"<article class='post'><h1>Winter</h1><p>{P}</p><p><a href=x>see the full report here</a></p><p>{Q}</p><section class='comments'><article class=comment><p>Lovely, thank you so much for it!</p></article></section></article>", f"Winter {P} see the full report here {Q}"),
+    (f"<h1>Winter</h1>\n{P}<br>{Q}<p>End.</p><div class='ad-banner'>Buy boats now, cheap boats for all</div><script>var x = '<p>no</p>';</script>", f"Winter {P} {Q} End."),
+    (f"<main><article><h1>Winter</h1><p>{P}</p><p>{Q}</p><p>{P}</p></article><article class='teaser'><h3><a href=x>Summer</a></h3><p>Short words.</p></article></main>", f"Winter {P} {Q} {P}"),
+    (f"<div class='cookie-notice'>We use cookies on this page, do you agree?</div><div><p>{P}</p><ul><li>first thing of all<li>second thing after it</ul><p>{Q}</p></div><form>Your mail <input name=m></form>", f"{P} first thing of all second thing after it {Q}"),
+    (f"<div class='share-content'><p>{P}</p></div><div class='related-work'><p>{Q}</p></div><p><a href=/it's>Not lost</a> &amp; don't say it {Q}</p>", f"{P} {Q} Not lost & don't say it {Q}"),
+]
+
+
+def test_html_layouts():
+    tree = html_text.trained()
+    assert [html_text.main_text(p, tree) for p, _ in LAYOUTS] == [t for _, t in LAYOUTS]
+
+
+def test_html_tree_on_variants_it_has_not_seen():
+    x, y = html_text.labelled(variants=6, seed=77)
+    right = np.mean([html_text.trained().says(tuple(r)) == bool(v) for r, v in zip(x, y, strict=True)])
+    print("blocks of unseen variants told right", right)
+    assert right > 0.95
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a href="', "<p>x<select>", "<div>", "</div>", "<li>", "<!--", "<p><a href=x>", "<x y='", "<ul><li>", "<", "&", "<svg>", "<style"])
+def test_html_is_linear_in_hostile_pages(piece):
+    began = time.perf_counter()
+    html_text.main_text(piece * (600_000 // len(piece)), html_text.trained())
+    assert time.perf_counter() - began < 15
