@@ -11,9 +11,10 @@ from corvane.session import table
 
 L = r"[\p{L}\p{N}_]"
 _TERMS = "terms as (select item_id, unnest([string_split(text, ' ')[1], string_split(text, ' ')[2] || ' ' || string_split(text, ' ')[3]]) as term from benchmark)"
-_BOUND = f"""pats as (select distinct item_id, '(?i)' || case when regexp_matches(term, '^{L}') then '(?:^|[^\\p{{L}}\\p{{N}}_])' else '' end || regexp_escape(term)
-    || case when regexp_matches(term, '{L}$') then '(?:$|[^\\p{{L}}\\p{{N}}_])' else '' end as pat from terms where trim(term) <> '')"""
-_LOC = f"{_TERMS}, {_BOUND}, loc as (select distinct item_id, doc_id from documents join pats on regexp_matches(text, pat))"
+#: A term stands in a text as whole words where it does so with every run of word characters put between marks.
+_BOUND = f"""marked as materialized (select doc_id, regexp_replace(lower(text), '({L}+)', chr(31) || '\\1' || chr(31), 'g') as text from documents),
+    pats as (select distinct item_id, regexp_replace(lower(term), '({L}+)', chr(31) || '\\1' || chr(31), 'g') as pat from terms where trim(term) <> '')"""
+_LOC = f"{_TERMS}, {_BOUND}, loc as (select distinct item_id, doc_id from marked join pats on contains(text, pat))"
 
 
 def _heads(spark, sf_dir):
