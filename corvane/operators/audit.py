@@ -1,4 +1,8 @@
-"""The file audit: five SQL queries and the pivot over (chat, chat_name, source, path, in_dl, dl_compare)."""
+"""The file audit over (chat, chat_name, source, path, in_dl, dl_compare): tallies, one-sided paths, and the pivot.
+
+Two files are the same one where chat and path are equal; a null path is equal to none. Repeated rows count each
+time. ``source`` is 'tooltip' for what a conversation shows, anything else for what lies on disk.
+"""
 
 from __future__ import annotations
 
@@ -7,24 +11,28 @@ from pyspark.sql import functions as F
 
 #: The sources in column order.
 SOURCES = ["tooltip", "ef", "eh_out", "eh_wrk", "dl"]
-DISK = "('ef', 'eh_out', 'eh_wrk', 'dl')"
-QUERIES = {
-    "audit_q1_conditional_counts": """select chat, chat_name, count(*) as extracted, cast(sum(case when in_dl = 'Y' then 1 else 0 end) as bigint) as downloaded,
-        cast(sum(case when in_dl = 'N' then 1 else 0 end) as bigint) as copied from {audit} where source = 'ef' group by chat, chat_name""",
-    "audit_q2_class_counts": """select chat, chat_name, count(*) as extracted, cast(sum(case when dl_compare = 'identical' then 1 else 0 end) as bigint) as identical,
-        cast(sum(case when dl_compare = 'newline_only' then 1 else 0 end) as bigint) as newline_only, cast(sum(case when dl_compare = 'differs' then 1 else 0 end) as bigint) as differs,
-        cast(sum(case when dl_compare = 'not_present' then 1 else 0 end) as bigint) as copied from {audit} where source in ('eh_out', 'eh_wrk') group by chat, chat_name""",
-    "audit_q3_tooltip_paths": "select chat, chat_name, path from {audit} where source = 'tooltip'",
-    "audit_q4_tooltip_only": f"""select t.chat, t.chat_name, t.path as tooltip_path from {{audit}} t where t.source = 'tooltip'
-        and not exists (select 1 from {{audit}} d where d.chat = t.chat and d.source in {DISK} and d.path = t.path)""",
-    "audit_q5_disk_only": f"""select d.chat, d.chat_name, d.source, d.path from {{audit}} d where d.source in {DISK}
-        and not exists (select 1 from {{audit}} t where t.chat = d.chat and t.source = 'tooltip' and t.path = d.path)""",
-}
-
-
-def run(audit: DataFrame, name: str) -> DataFrame:
-    """One of the five queries."""
-    return audit.sparkSession.sql(QUERIES[name], audit=audit)
+CHAT = ["chat", "chat_name"]
+
+
+def tally(audit: DataFrame, sources: list[str], column: str, classes: dict[str, str]) -> DataFrame:
+    """chat, chat_name, extracted, and for each name of ``classes`` how many rows of these sources hold its value in ``column``."""
+    counts = [F.count_if(F.col(column) == value).alias(name) for name, value in classes.items()]
+    return audit.where(F.col("source").isin(sources)).groupBy(CHAT).agg(F.count("*").alias("extracted"), *counts)
+
+
+def shown(audit: DataFrame) -> DataFrame:
+    """The rows of paths that a conversation shows."""
+    return audit.where("source = 'tooltip'")
+
+
+def on_disk(audit: DataFrame) -> DataFrame:
+    """The rows of files found in any of the four places on disk."""
+    return audit.where(F.col("source").isin(SOURCES[1:]))
+
+
+def without_twin(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """The rows whose chat and path the others lack; the others travel once for each file."""
+    return rows.join(others.select("chat", "path").distinct(), ["chat", "path"], "left_anti")
 
 
 def pivoted(audit: DataFrame) -> DataFrame:

@@ -127,9 +127,40 @@ def file_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _AUDIT_CTE = f"with audit as ({_AUDIT.format(lineitem='lineitem', orders='orders')}) "
-for _name, _sql in audit.QUERIES.items():
-    QUERIES[_name] = lambda spark, sf_dir, name=_name: audit.run(file_audit(spark, sf_dir), name)
-    ORACLE_SQL[_name] = _AUDIT_CTE + _sql.format(audit="audit")
+
+
+@query(_AUDIT_CTE + """select chat, any_value(chat_name) as chat_name, count(*) as extracted, count(*) filter (in_dl = 'Y') as downloaded, count(*) filter (in_dl = 'N') as copied
+    from audit where source = 'ef' group by chat""")
+def audit_q1_conditional_counts(spark, sf_dir):
+    return audit.tally(file_audit(spark, sf_dir), ["ef"], "in_dl", {"downloaded": "Y", "copied": "N"})
+
+
+@query(_AUDIT_CTE + """, n as (select chat, dl_compare, count(*) as n from audit where starts_with(source, 'eh_') group by all)
+    select chat, 'chat ' || chat as chat_name, cast(sum(n) as bigint) as extracted, cast(coalesce(max(n) filter (dl_compare = 'identical'), 0) as bigint) as identical, cast(coalesce(max(n) filter (dl_compare = 'newline_only'), 0) as bigint) as newline_only,
+    cast(coalesce(max(n) filter (dl_compare = 'differs'), 0) as bigint) as differs, cast(coalesce(max(n) filter (dl_compare = 'not_present'), 0) as bigint) as copied from n group by chat""")
+def audit_q2_class_counts(spark, sf_dir):
+    classes = {"identical": "identical", "newline_only": "newline_only", "differs": "differs", "copied": "not_present"}
+    return audit.tally(file_audit(spark, sf_dir), ["eh_out", "eh_wrk"], "dl_compare", classes)
+
+
+_SIDED = _AUDIT_CTE + """, sided as (select *, bool_or(source = 'tooltip') over same as is_shown, bool_or(source <> 'tooltip') over same as is_held from audit window same as (partition by chat, path)) """
+
+
+@query(_SIDED + "select chat, chat_name, path from sided where is_shown and source = 'tooltip'")
+def audit_q3_tooltip_paths(spark, sf_dir):
+    return audit.shown(file_audit(spark, sf_dir)).select("chat", "chat_name", "path")
+
+
+@query(_SIDED + "select chat, chat_name, path as tooltip_path from sided where is_shown and not is_held")
+def audit_q4_tooltip_only(spark, sf_dir):
+    rows = file_audit(spark, sf_dir)
+    return audit.without_twin(audit.shown(rows), audit.on_disk(rows)).select("chat", "chat_name", F.col("path").alias("tooltip_path"))
+
+
+@query(_SIDED + "select chat, chat_name, source, path from sided where is_held and not is_shown")
+def audit_q5_disk_only(spark, sf_dir):
+    rows = file_audit(spark, sf_dir)
+    return audit.without_twin(audit.on_disk(rows), audit.shown(rows)).select("chat", "chat_name", "source", "path")
 
 
 @query(_AUDIT_CTE + "select chat, chat_name, split_part(path, '/', 2) as base, " + ", ".join(
