@@ -3,7 +3,7 @@
 from corvane.operators import index
 
 TEXTS = ["the cat sat", "concatenate two words", "hot dogs and a hotdog", "one two three four five six seven eight nine", "", None, "zebra"]
-HEADS = ["cat", "hot dog", "two", "two words", "three four five", "one two three four five six seven", "no such", "missing", "o", " ", "wo three four fi", None]
+HEADS = ["cat", "hot dog", "two", "two words", "three four five", "one two three four five six seven", "no such", "missing", "o", " ", "wo three four fi", "", "ca", "hot dogs", "s and", "gs a", "  ", None]
 
 
 def test_locators_of_heads_of_any_length(spark):
@@ -12,6 +12,7 @@ def test_locators_of_heads_of_any_length(spark):
     want = sorted((k, i) for k, h in enumerate(HEADS) for i, t in [*enumerate(TEXTS), (3, TEXTS[3])] if None not in (h, t) and h in t)
     found = index.locators(docs, heads)
     assert sorted((r.item_id, r.doc_id) for r in found.collect()) == want
+    assert "CartesianProduct" not in (plan := found._jdf.queryExecution().toString()) and "NestedLoop" not in plan
     assert {r.item_id for r in index.orphans(heads, found).collect()} == set(range(len(HEADS))) - {k for k, _ in want}
 
 
