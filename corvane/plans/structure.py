@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corvane.operators import nodes
+from corvane.operators import nodes, units
 from corvane.plans.catalog import query
 from corvane.session import table
 
@@ -105,3 +105,45 @@ def layer_of_nearest(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("node"))
     parents = parts.select("node", F.expr("case when node > 1 then node div 2 end").alias("up"))
     return nodes.nearest(parents, parts.where("node % 9 = 4").select("node", F.concat(F.lit("layer "), "node").alias("layer")))
+
+
+_FILES = """select 'store/' || o_orderpriority || '/' || o_orderstatus || '/' || (o_orderkey % 50) || '/f' || o_orderkey || '.json' as path from orders where o_orderkey % 9 <> 0 union all select 'loose/' || o_orderkey from orders where o_orderkey % 9 = 0"""
+
+
+def _listing(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    stored = orders.where("o_orderkey % 9 <> 0").selectExpr("'store/' || o_orderpriority || '/' || o_orderstatus || '/' || (o_orderkey % 50) || '/f' || o_orderkey || '.json' as path")
+    return stored.union(orders.where("o_orderkey % 9 = 0").selectExpr("'loose/' || o_orderkey as path"))
+
+
+def _stores(spark, sf_dir):
+    selections = spark.sql("select 'logs' as name, 'store/<provider>' as template, 2 as depth union all select 'odd', 'nowhere', 1")
+    providers = table(spark, sf_dir, "orders").selectExpr("'logs' as name", "o_orderpriority as provider").where("provider <> '5-LOW'").distinct()
+    return units.declared(selections, providers)
+
+
+_UNITS = f"""f as ({_FILES}), d as (select 'logs' as name, split_part(path, '/', 2) as provider, regexp_extract(path, '^[^/]+/[^/]+/[^/]+/[^/]+') as address, count(distinct path) as files from f where path like 'store/%' and path not like 'store/5-LOW/%' group by all)"""
+
+
+@query("select distinct 'logs' as name, o_orderpriority as provider, 'store/' || o_orderpriority as folder, 2 as depth from orders where o_orderpriority <> '5-LOW' union all select 'odd', null, 'nowhere', 1")
+def stores_declared(spark, sf_dir):
+    return _stores(spark, sf_dir)
+
+
+@query(f"with {_UNITS} select * from d")
+def units_scanned(spark, sf_dir):
+    return units.scanned(_listing(spark, sf_dir), _stores(spark, sf_dir))
+
+
+@query(f"with {_UNITS} select *, 'declared' as measure from d union all select distinct null, null, path, 1, 'prefix' from f where path like 'loose/%' or path like 'store/5-LOW/%'")
+def units_all(spark, sf_dir):
+    return units.all_units(_listing(spark, sf_dir), _stores(spark, sf_dir))
+
+
+@query("""with m as (select distinct l_orderkey as unit, l_returnflag as category from lineitem), k as (select * from (values ('A', 'a.json'), ('A', 'index.json'), ('N', 'n.json')) as v(category, member)), h as (select l_orderkey as unit, unnest(['index.json', case when l_quantity > 25 then 'n.json' end]) as member from lineitem)
+    select distinct unit, coalesce(member, 'unknown category ' || category) as lacking from m left join k using (category) where not exists (select 1 from h where h.unit = m.unit and h.member = coalesce(k.member, 'unknown category ' || m.category))""")
+def parts_missing(spark, sf_dir):
+    items = table(spark, sf_dir, "lineitem")
+    members = spark.sql("select inline(array(named_struct('category', 'A', 'member', 'a.json'), named_struct('category', 'A', 'member', 'index.json'), named_struct('category', 'N', 'member', 'n.json')))")
+    held = items.select(F.col("l_orderkey").alias("unit"), F.explode(F.expr("array('index.json', case when l_quantity > 25 then 'n.json' end)")).alias("member"))
+    return units.missing_parts(items.selectExpr("l_orderkey as unit", "l_returnflag as category"), members, held)
