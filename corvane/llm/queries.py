@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import byte_bpe, chat, decontaminate, html_text, pii, quality, rules, simhash, suffixes, warc
+from corvane.llm import byte_bpe, chat, decontaminate, html_text, pii, quality, repair, rules, runs, simhash, suffixes, token_files, warc
 from corvane.session import table
 
 
@@ -55,6 +55,22 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.digest(table(spark, sf_dir, "pages"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in every document, the most repeated one, and digests of all runs and of the text without their repeats."""
+    return runs.digest(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired: faults, cheapest edits and a digest of the repaired turns."""
+    return repair.digest(table(spark, sf_dir, "conversations"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids as read back from compressed files: place, number and CRC-32."""
+    library = token_files.Library(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.digest(table(spark, sf_dir, "documents"), library, end_id=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -66,6 +82,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
     "op10_html_text": op10_html_text,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_token_files": op13_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {
