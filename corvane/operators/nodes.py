@@ -1,14 +1,17 @@
 """JSON documents as tables of nodes, rules judged on them, and walks over references by joins to a fixpoint.
 
-A node is a row (doc, pointer, parent, step, pattern, kind, value): its JSON pointer, that of the node above, the step
-from there, the pointer with ``*`` for array places, one of object, array, string, integer, number, boolean and null, and
-the text of a single value. Rules and patterns then meet nodes by equality, whatever the size of the corpus.
+A node is a row (doc, pointer, parent, step, pattern, kind, value, place, path, within): its JSON pointer, that of the node above,
+the step from there, the pointer with ``*`` for array places, one of object, array, string, integer, number, boolean and
+null, the text of a single value, its place in the document as written, its steps in a form that sorts, and o or a for each object or array
+around it, the outermost first. Rules and patterns then meet nodes by equality, whatever the size of the corpus.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import json
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,31 +20,65 @@ from corvane.session import settled
 #: Words of a schema that describe and do not restrict.
 ANNOTATIONS = ("$schema", "id", "title", "description", "default")
 
-_KIND = """case when t like 'OBJECT%' then 'object' when t like 'ARRAY%' then 'array' when t = 'STRING' then 'string' when t = 'BOOLEAN' then 'boolean'
-    when t = 'BIGINT' then 'integer' when t = 'VOID' then 'null' else 'number' end"""
+_KINDS = {dict: "object", list: "array", str: "string", bool: "boolean", int: "integer", float: "number", type(None): "null"}
+_FIELDS = [("pointer", pa.string()), ("parent", pa.string()), ("step", pa.string()), ("pattern", pa.string()), ("kind", pa.string()), ("value", pa.string()), ("place", pa.int64()), ("path", pa.list_(pa.string())), ("within", pa.string())]
+#: Nodes of one Arrow batch at least, save the last.
+_AT_ONCE = 20_000
+
+
+def _walk(value: object) -> Iterator[tuple]:
+    """The nodes of a value in the order written, each before what it holds."""
+    place, left = 0, [(value, "", None, None, "", [], "")]
+    while left:
+        value, pointer, parent, step, pattern, path, within = left.pop()
+        single = None if isinstance(value, (dict, list)) or value is None else value if isinstance(value, str) else json.dumps(value)
+        yield pointer, parent, step, pattern, _KINDS[type(value)], single, place, path, within
+        place += 1
+        if isinstance(value, dict):
+            words = [(k, k.replace("~", "~0").replace("/", "~1")) for k in value]
+            left += [(value[k], f"{pointer}/{w}", pointer, w, f"{pattern}/{w}", [*path, k], f"{within}o") for k, w in reversed(words)]
+        elif isinstance(value, list):
+            left += [(value[i], f"{pointer}/{i}", pointer, str(i), f"{pattern}/*", [*path, f"{i:012}"], f"{within}a") for i in range(len(value) - 1, -1, -1)]
+
+
+def _whole(text: str) -> str:
+    """The text without halves of surrogate pairs, which no column can hold."""
+    return text if text.isascii() else text.encode("utf-8", "replace").decode()
 
 
 def nodes(docs: DataFrame) -> DataFrame:
-    """docs(doc, text) -> doc, pointer, parent, step, pattern, kind, value. One job for each level of nesting.
+    """docs(doc, text) -> doc, pointer, parent, step, pattern, kind, value, place, path, within. One pass; no row leaves its task.
 
-    A null text, one that is no JSON and one that names a key of an object twice give no rows. Repeated documents repeat
-    their rows; a null doc stays null; other columns are ignored; an empty table gives no rows.
+    A null text and one that is no JSON (one nested deeper than the parser goes included) give no rows. Integers are of any
+    length; of a key that an object names twice the last value counts. Repeated documents repeat their rows; a null doc
+    stays null; other columns are ignored; an empty table gives no rows. A document is held whole by its task.
     """
-    none = F.lit(None).cast("string")
-    level = docs.select("doc", F.lit("").alias("pointer"), none.alias("parent"), none.alias("step"), F.lit("").alias("pattern"), F.expr("try_parse_json(text)").alias("v")).where("v is not null")
-    tvf, found = docs.sparkSession.tvf, []
-    while True:
-        level = settled(level.withColumn("t", F.expr("schema_of_variant(v)")).withColumn("kind", F.expr(_KIND)).drop("t"))
-        found.append(level.select("doc", "pointer", "parent", "step", "pattern", "kind", F.expr("case when kind not in ('object', 'array') then try_variant_get(v, '$', 'string') end").alias("value")))
-        inner = level.where("kind in ('object', 'array')")
-        if inner.isEmpty():
-            return reduce(DataFrame.union, found)
-        below = inner.select("doc", "pointer", "pattern", "v").lateralJoin(tvf.variant_explode(F.col("v").outer()))
-        step = F.coalesce(F.replace(F.replace("key", F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1")), F.col("pos").cast("string"))
-        level = below.select(
-            "doc", F.concat("pointer", F.lit("/"), step).alias("pointer"), F.col("pointer").alias("parent"), step.alias("step"),
-            F.concat("pattern", F.lit("/"), F.when(F.col("key").isNull(), "*").otherwise(step)).alias("pattern"), F.col("value").alias("v"),
-        )
+    kind = docs.schema["doc"].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            doc, rows, owner = b.column(0), [], []
+
+            def made():
+                columns = [pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), _FIELDS, strict=True)]
+                return pa.RecordBatch.from_arrays([doc.take(pa.array(owner)), *columns], names=["doc", *(n for n, _ in _FIELDS)])
+
+            for i, text in enumerate(b.column(1).to_pylist()):
+                try:
+                    value = json.loads(text or "")
+                except (ValueError, RecursionError):
+                    continue
+                for row in _walk(value):
+                    rows.append(tuple(_whole(x) if isinstance(x, str) else [_whole(y) for y in x] if isinstance(x, list) else x for x in row))
+                    owner.append(i)
+                    if len(rows) >= _AT_ONCE:
+                        yield made()
+                        rows, owner = [], []
+            if rows:
+                yield made()
+
+    ddl = f"doc {kind.simpleString()}, pointer string, parent string, step string, pattern string, kind string, value string, place long, path array<string>, within string"
+    return docs.select("doc", F.col("text").cast("string")).mapInArrow(run, ddl)
 
 
 def strings(tree: DataFrame) -> DataFrame:

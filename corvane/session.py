@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_OWN: dict[str, str] = {}
+
+
 def get_spark(app: str = "corvane", **conf: str) -> SparkSession:
     """A session with the settings the library is written for: UTC, adaptive execution, Arrow."""
     builder = SparkSession.builder.appName(app)
@@ -25,9 +29,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, ``spark.checkpoint.dir``; where it is unset, one of our own on a local master, else an error."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = _OWN.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="spark-"))
+    return found.rstrip("/")
+
+
 def settled(df: DataFrame) -> DataFrame:
-    """The rows written below ``spark.checkpoint.dir``; a folder of our own where that is unset (local tests)."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
+    """The rows written as Parquet below the shared folder and read from there: computed once, and lost executors cost no recomputation."""
+    path = f"{shared_dir(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
