@@ -11,10 +11,12 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,7 @@ MAGIC = b"TOKBITS1"
 #: Files that one task reads at most follow from this many tasks.
 MAX_TASKS = 10_000
 #: Characters of distinct words that a worker remembers before it starts anew.
-REMEMBERED = 24_000_000
+REMEMBERED = 8_000_000
 
 
 def code_lengths(counts: np.ndarray, max_bits: int) -> np.ndarray:
@@ -156,12 +158,19 @@ class Units:
         said = json.loads(data)
         if said["normalizer"] or said["pre_tokenizer"] != {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}:
             raise ValueError("only byte-level tokenizers without a prefix space are read by units")
+        #: the same merges for units of letters alone: each is one pre-token, so their ends need not be looked for
+        self.letters = tokenizers.Tokenizer.from_buffer(data)
+        self.letters.pre_tokenizer = tokenizers.pre_tokenizers.CharDelimiterSplit("\n")
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that the file writes as the characters of their numbers
+        others = [b for b in range(256) if b not in plain]
+        self.written = {b: 256 + n for n, b in enumerate(others) if b != 10}
         strings = {i: s for s, i in self.library.get_vocab(with_added_tokens=True).items()}
         #: bytes that each id stands for; the file says a byte by one character
         self.size = np.array([len(strings.get(i, "")) for i in range(max(strings) + 1)], np.int64)
         self.width = np.dtype("<u2" if len(self.size) <= 1 << 16 else "<u4")
         self.inner: dict[str, bytes | None] = {}
         self.heads: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         self.held = 0
 
     def alone(self, texts: list[str]) -> list[bytes]:
@@ -169,19 +178,36 @@ class Units:
 
     def learn(self, new: list[str]) -> None:
         """Remember units, each without the space before it."""
-        plain = [u for u in new if u and not u[0].isspace() and not u[-1].isspace()]
-        odd = [u for u in new if not u or u[0].isspace() or u[-1].isspace()]
-        self.inner.update(zip(odd, self.alone([" " + u for u in odd]), strict=True))
         self.held += sum(map(len, new))
-        if not plain:
-            return
-        found = np.array(self.library.encode_batch_fast([" " + " ".join(plain)], add_special_tokens=False)[0].ids, self.width)
-        sizes = np.array([len(u.encode()) + 1 for u in plain], np.int64)
-        ends = np.searchsorted(np.cumsum(self.size[found]), np.cumsum(sizes), side="right") * self.width.itemsize
-        raw, at = found.tobytes(), 0
-        for unit, to in zip(plain, ends.tolist(), strict=True):
-            self.inner[unit] = raw[at:to]
-            at = to
+        letters, rest = list(filter(str.isalpha, new)), list(filterfalse(str.isalpha, new))
+        # letters and the punctuation that ends them are two pre-tokens
+        ended = [(u, b) for u, b in zip(rest, [u.rstrip(string.punctuation) for u in rest], strict=True) if len(b) < len(u) and b.isalpha()]
+        bases = [b for _, b in ended]
+        letters += set(bases) - self.inner.keys() - set(letters)
+        for some in (list(filter(str.isascii, letters)), list(filterfalse(str.isascii, letters))):
+            if some:
+                text = "\n".join(some)
+                text = text if text.isascii() else text.encode().decode("latin-1").translate(self.written)
+                space = chr(self.written[32])
+                ids = self.letters.encode_batch_fast([space + text.replace("\n", f"\n{space}")], add_special_tokens=False)[0].ids
+                self.part(some, list(map(len, text.split("\n"))), ids)
+        tails = [u[len(b) :] for u, b in ended]
+        if unknown := list(set(tails) - self.tails.keys()):
+            self.tails.update(zip(unknown, self.alone(unknown), strict=True))
+        self.inner.update([(u, self.inner[b] + self.tails[t]) for (u, b), t in zip(ended, tails, strict=True)])
+        rest = list(set(rest) - dict(ended).keys())
+        odd = [u for u in rest if not u or u[0].isspace() or u[-1].isspace()]
+        self.inner.update(zip(odd, self.alone([" " + u for u in odd]), strict=True))
+        mixed = list(set(rest) - set(odd))
+        if mixed:
+            self.part(mixed, [len(u.encode()) for u in mixed], self.library.encode_batch_fast([" " + " ".join(mixed)], add_special_tokens=False)[0].ids)
+
+    def part(self, units: list[str], sizes: list[int], ids: list[int]) -> None:
+        """Deal the ids of units that stand one after another, each with a space before it, out to them, by the bytes each id stands for."""
+        found = np.array(ids, self.width)
+        ends = np.searchsorted(np.cumsum(self.size[found]), np.cumsum(np.array(sizes, np.int64) + 1), side="right") * self.width.itemsize
+        raw, ends = found.tobytes(), ends.tolist()
+        self.inner.update(zip(units, [raw[x:y] for x, y in zip([0, *ends], ends, strict=False)], strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes of ``width``."""
@@ -194,7 +220,7 @@ class Units:
             self.learn(new)
         out = [self.heads[h] + b"".join(map(self.inner.__getitem__, u)) for h, u in zip(heads, split, strict=True)]
         if self.held > REMEMBERED:
-            self.inner, self.heads, self.held = {}, {}, 0
+            self.inner, self.heads, self.tails, self.held = {}, {}, {}, 0
         return out
 
 

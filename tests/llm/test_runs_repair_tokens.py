@@ -211,7 +211,7 @@ def test_units_are_encoded_as_the_library_does():
     with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
         found = token_files.Units(f.read())
     r = random.Random(3)
-    alphabet = ["a", "the", "  ", " ", " ", " ", "\n", "\t", "\x85", "é", "日本", "123", "...", "'s", "<|endoftext|>", "᠎", "\x1c", "😀", " ", "​"]
+    alphabet = ["a", "the", "  ", " ", " ", " ", "\n", "\t", "\x85", "é", "日本", "123", "...", "'s", "'", "!?", "#", "<|endoftext|>", "᠎", "\x1c", "😀", " ", "​"]
     for _ in range(400):
         texts = ["".join(r.choice(alphabet) for _ in range(r.randrange(25))) for _ in range(8)]
         got = [np.frombuffer(x, found.width).tolist() for x in found.encode(texts)]
