@@ -33,7 +33,7 @@ MAGIC = b"TOKBITS1"
 #: Files that one task reads at most follow from this many tasks.
 MAX_TASKS = 10_000
 #: Characters of distinct words that a worker remembers before it starts anew.
-REMEMBERED = 8_000_000
+REMEMBERED = 14_000_000
 
 
 def code_lengths(counts: np.ndarray, max_bits: int) -> np.ndarray:
