@@ -10,7 +10,7 @@ from corvane.operators import nodes, schemas
 
 
 def tree_of(spark, values):
-    texts = [(i, v if isinstance(v, str) else json.dumps(v)) for i, v in enumerate(values)]
+    texts = [(i, json.dumps(v)) for i, v in enumerate(values)]
     return nodes.nodes(spark.createDataFrame(texts, "doc long, text string").repartition(3))
 
 
