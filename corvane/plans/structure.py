@@ -15,55 +15,55 @@ _TREE = f"""docs as (select event_id as doc, {_TEXT} as text from events), tree
     from (select * from docs where json_valid(text)) d, json_tree(d.text::json) t), nodes as (select doc, pointer, pattern, kind, step, case when kind not in ('object', 'array', 'null') then raw end as value from tree)"""
 
 
-def _docs(spark, sf_dir):
+def event_documents(spark, sf_dir):
     return table(spark, sf_dir, "events").select(F.col("event_id").alias("doc"), F.expr(_TEXT).alias("text"))
 
 
-def _tree(spark, sf_dir):
-    return nodes.nodes(_docs(spark, sf_dir))
+def event_tree(spark, sf_dir):
+    return nodes.nodes(event_documents(spark, sf_dir))
 
 
 @query(f"with {_TREE} select doc, pointer, pattern, kind, value from nodes")
 def json_nodes(spark, sf_dir):
-    return _tree(spark, sf_dir).select("doc", "pointer", "pattern", "kind", "value")
+    return event_tree(spark, sf_dir).select("doc", "pointer", "pattern", "kind", "value")
 
 
 @query(f"with {_TREE} select doc, pointer, value from nodes where kind = 'string'")
 def json_strings(spark, sf_dir):
-    return nodes.strings(_tree(spark, sf_dir))
+    return nodes.strings(event_tree(spark, sf_dir))
 
 
 @query(f"with {_TREE} select d.doc, a.pointer, n.kind from (select doc, unnest(['/props/k', '/tags/2', '/tags/9', '/stop', '']) as pointer from docs) a join docs d using (doc) left join nodes n on n.doc = d.doc and n.pointer = a.pointer")
 def pointers_resolved(spark, sf_dir):
-    asked = _docs(spark, sf_dir).select("doc", F.explode(F.expr("array('/props/k', '/tags/2', '/tags/9', '/stop', '')")).alias("pointer"))
-    return nodes.resolved(_tree(spark, sf_dir), asked)
+    asked = event_documents(spark, sf_dir).select("doc", F.explode(F.expr("array('/props/k', '/tags/2', '/tags/9', '/stop', '')")).alias("pointer"))
+    return nodes.resolved(event_tree(spark, sf_dir), asked)
 
 
 @query(f"with {_TREE} select pattern, doc, pointer from nodes where pattern in ('/tags/*', '/props/k', '/none')")
 def pattern_places(spark, sf_dir):
-    return nodes.at_patterns(_tree(spark, sf_dir), spark.sql("select explode(array('/tags/*', '/props/k', '/none')) as pattern"))
+    return nodes.at_patterns(event_tree(spark, sf_dir), spark.sql("select explode(array('/tags/*', '/props/k', '/none')) as pattern"))
 
 
 @query(f"with {_TREE}, r as (select *, row_number() over (partition by pattern order by doc, pointer) as k from nodes where value is not null and pattern in ('/tags/*', '/stop', '/none')) select pattern, doc, value from r where k = 1")
 def claims_falsified(spark, sf_dir):
-    return nodes.falsified(_tree(spark, sf_dir), spark.sql("select explode(array('/tags/*', '/stop', '/none')) as pattern"))
+    return nodes.falsified(event_tree(spark, sf_dir), spark.sql("select explode(array('/tags/*', '/stop', '/none')) as pattern"))
 
 
 @query(f"with {_TREE} select doc, sha256(string_agg(pointer || '=' || kind || coalesce('=' || value, ''), chr(10) order by pointer || '=' || kind || coalesce('=' || value, ''))) as digest from nodes where pointer <> '/title' group by doc")
 def restriction_digests(spark, sf_dir):
-    return nodes.restriction_digests(_tree(spark, sf_dir))
+    return nodes.restriction_digests(event_tree(spark, sf_dir))
 
 
 @query(f"with {_TREE}, k as (select * from nodes where pointer <> '/title') select a.doc as base, a.doc + 1 as refined, a.pointer from k a join docs on docs.doc = a.doc + 1 left join k b on b.doc = a.doc + 1 and b.pointer = a.pointer and b.kind = a.kind and coalesce(b.value, '') = coalesce(a.value, '') where b.doc is null")
 def restrictions_changed(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
+    docs = event_documents(spark, sf_dir)
     pairs = docs.select((F.col("doc") - 1).alias("base"), F.col("doc").alias("refined"))
-    return nodes.unrefined(_tree(spark, sf_dir), pairs)
+    return nodes.unrefined(event_tree(spark, sf_dir), pairs)
 
 
 @query(f"with {_TREE} select value as target, left(pattern, length(pattern) - 5) as pattern, count(*) as n from nodes where step = '$ref' group by all")
 def definition_references(spark, sf_dir):
-    return nodes.references(_tree(spark, sf_dir))
+    return nodes.references(event_tree(spark, sf_dir))
 
 
 _RULES = """select col1 as pattern, col2 as rule, col3 as arg from (select inline(array(struct('/type', 'union', array('click', 'purchase', 'signup')), struct('/stop', 'enum', array('0', '2')), struct('/user', 'type', array('string')),
@@ -82,12 +82,12 @@ def _rules(spark):
 
 @query(f"with {_TREE}, {_FAULTS} select doc, pointer, rule, said from found")
 def rule_faults(spark, sf_dir):
-    return nodes.faults(_tree(spark, sf_dir), _rules(spark))
+    return nodes.faults(event_tree(spark, sf_dir), _rules(spark))
 
 
 @query(f"with {_TREE}, {_FAULTS}, r as (select *, row_number() over (partition by doc order by case when rule = 'union' then 0 else 1 end, pointer, rule, said) as k from found) select doc, json_valid(text) and said is null as valid, pointer, case when json_valid(text) then said else 'no JSON' end as said from docs left join (select * from r where k = 1) using (doc)")
 def document_verdicts(spark, sf_dir):
-    docs, tree = _docs(spark, sf_dir), _tree(spark, sf_dir)
+    docs, tree = event_documents(spark, sf_dir), event_tree(spark, sf_dir)
     return nodes.verdicts(docs, tree, nodes.faults(tree, _rules(spark)))
 
 
