@@ -27,10 +27,15 @@ INLINE = frozenset("a abbr b bdi bdo big br cite code em font i img kbd label ma
 ASIDE = frozenset("nav footer aside form header menu dialog button head title".split())
 #: The same by words of class, id and role; a name of these and of neutral words only is sure, any other that holds one is a hint.
 SIDE = frozenset("""ad ads advert adverts advertisement banner sponsor sponsored promo nav navigation navbar menu breadcrumb breadcrumbs sidebar footer masthead notice notices
-    cookie cookies consent popup modal comment comments related share sharing social subscribe newsletter widget complementary contentinfo search""".split())
+    cookie cookies consent popup modal comment comments discussion disqus thread replies responses respond related share sharing social subscribe newsletter widget
+    complementary contentinfo search""".split())
 NEUTRAL = frozenset("""site main top bottom left right list box bar wrap wrapper container link links item items section area block post posts article entry page blog global primary
     secondary inner outer row col column button buttons signup user reader group panel message header""".split())
+#: Sides within each other that are told apart; what lies deeper is in these.
+DEEPEST = 16
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Elements of a head; any other ends a head that is still open.
+METADATA = frozenset("head title base link meta script style noscript template".split())
 #: Names of the whole page (``no-sidebar``) say nothing about its text.
 WHOLE = frozenset("html body main".split())
 #: Tags whose end may be left out: opening the first closes an open one of the second, up to the boundary.
@@ -118,11 +123,17 @@ def blocks(page: str) -> tuple[list[Block], dict[int, str]]:
     """The flat text blocks in page order, and the tag of each region (an article or main element) by its number.
 
     side is 2 in a side container, 1 in one whose name hints at it; kind is 2 for headings, 1 for list items and
-    cells; region is the number of the innermost article or main element, 0 outside of them.
+    cells; region is the number of the innermost article or main element, 0 outside of them. A container is no side
+    where it is the page itself: it holds over half of the page's words and all of its first headings, articles and main
+    elements that no other side holds, or it is a form and there are none.
     """
     found, text, links, in_link, link_depth = [], [], 0, False, 0
-    stack: list[tuple[str, int, int]] = []
+    #: tag, the sides around and their levels, region
+    stack: list[tuple[str, tuple[int, ...], int]] = []
     regions: dict[int, str] = {}
+    levels: list[tuple[int, str]] = []
+    sides: list[tuple[int, ...]] = []
+    marks: list[bool] = []
 
     def close() -> None:
         nonlocal links
@@ -130,7 +141,9 @@ def blocks(page: str) -> tuple[list[Block], dict[int, str]]:
         if whole:
             n, tags = len(whole.split()), {t for t, _, _ in stack[-2:]}
             kind = 2 if tags & HEADING else 1 if tags & CELL else 0
-            found.append(Block(whole, n, min(1.0, links / n), stack[-1][1] if stack else 0, kind, stack[-1][2] if stack else 0))
+            found.append(Block(whole, n, min(1.0, links / n), 0, kind, stack[-1][2] if stack else 0))
+            sides.append(stack[-1][1] if stack else ())
+            marks.append("h1" in tags or bool(stack and stack[-1][2]))
         text.clear()
         links = 0
 
@@ -146,6 +159,12 @@ def blocks(page: str) -> tuple[list[Block], dict[int, str]]:
             text.append(plain)
             links += len(plain.split()) if in_link else 0
             continue
+        if what != "close" and open_at.get("head") and tag not in METADATA:
+            close()
+            k = next(k for k, (t, _, _) in enumerate(stack) if t == "head")
+            for t, _, _ in stack[k:]:
+                open_at[t] -= 1
+            pop(k)
         if tag == "a":
             in_link, link_depth = what == "open", len(stack)
         if tag in INLINE:
@@ -175,16 +194,37 @@ def blocks(page: str) -> tuple[list[Block], dict[int, str]]:
                 open_at[t] -= 1
             pop(first)
             level = 2 if tag in ASIDE else 0 if tag in WHOLE else named(fields)
-            region = stack[-1][2] if stack else 0
+            region, around = stack[-1][1:][::-1] if stack else (0, ())
             if tag in ("article", "main") or fields.get("role", "").lower() == "main":
                 level = 0 if tag == "article" and level == 1 else level
                 region = len(regions) + 1
                 regions[region] = "article" if tag == "article" else "main"
-            # the depth of sides is that of the container: a child inherits the greater
-            stack.append((tag, max(level, stack[-1][1] if stack else 0), region))
+            # a side within one that is as sure adds nothing, but that either may turn out to be the page
+            if level and (len(around) < DEEPEST or level > max(levels[c][0] for c in around)):
+                around = (*around, len(levels))
+                levels.append((level, tag))
+            stack.append((tag, around, region))
             open_at[tag] = open_at.get(tag, 0) + 1
     close()
-    return found, regions
+    total, held = sum(x.words for x in found), [0] * len(levels)
+    for x, around in zip(found, sides, strict=True):
+        for c in around:
+            held[c] += x.words
+    own: list[int] = [0] * len(levels)
+    free = 0  # marks that no side holds
+    for around, mark in zip(sides, marks, strict=True):
+        for c in around if mark else ():
+            own[c] += 1
+        free += mark and not around
+    wide = [c for c in range(len(levels)) if 2 * held[c] > total]
+    outside = dict.fromkeys(wide, free)
+    for around, mark in zip(sides, marks, strict=True):
+        # a mark in wide sides alone speaks against those of them that do not hold it
+        if mark and around and all(2 * held[c] > total for c in around):
+            for c in wide:
+                outside[c] += c not in around
+    page_itself = {c for c in wide if not outside[c] and (own[c] or levels[c][1] == "form")}
+    return [x._replace(side=max((levels[c][0] for c in around if c not in page_itself), default=0)) for x, around in zip(found, sides, strict=True)], regions
 
 
 def rows_of(page: str) -> tuple[list[str], list[tuple]]:
