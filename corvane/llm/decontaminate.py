@@ -71,26 +71,34 @@ class Block:
         near = self.candidates(set(found))
         codes = np.array(found, np.int32) if near else None
         for k in near:
-            for lo, hi in self.stretches(k, codes):
-                score, matched, a, e = align(self.coded[k], codes[lo:hi])
-                if matched / len(self.coded[k]) >= similar:
+            left = list(self.stretches(k, codes, 0, len(codes)))
+            while left:
+                lo, hi = left.pop()
+                score, matched, a, e = align(self.coded[k], codes[lo:hi], self.least[k])
+                if matched:
                     yield self.ids[k], score, matched / len(self.coded[k]), lo + a, lo + e
+                    # what is found is taken out, and both sides are searched on
+                    left += [*self.stretches(k, codes, lo, lo + a), *self.stretches(k, codes, lo + e, hi)]
 
-    def stretches(self, k: int, text: np.ndarray) -> Iterator[tuple[int, int]]:
-        """Stretches of the text, of at most six times the item's length, that together hold every copy.
+    def stretches(self, k: int, text: np.ndarray, lo: int, hi: int) -> Iterator[tuple[int, int]]:
+        """Stretches of the text from ``lo`` to ``hi`` that together hold every copy, each of them whole.
 
-        An alignment has a score above 0, so it spans less than REACH words of text for each word of the item.
+        An alignment has a score above 0, so it spans less than REACH words of text for each word of the item; stretches
+        part only where no such span with enough of the item's words lies across.
         """
         span = REACH * len(self.coded[k])
+        text = text[lo:hi]
         total = np.concatenate([[0], np.cumsum(np.isin(text, self.coded[k]))])
         starts = np.arange(len(text))
         starts = starts[total[np.minimum(starts + span, len(text))] - total[starts] >= self.least[k]]
-        for part in np.split(starts, np.flatnonzero(np.diff(starts // span)) + 1) if len(starts) else ():
-            yield int(part[0]), min(len(text), int(part[-1]) + span)
+        for part in np.split(starts, np.flatnonzero(np.diff(starts) >= span) + 1) if len(starts) else ():
+            yield lo + int(part[0]), lo + min(len(text), int(part[-1]) + span)
 
 
-def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
-    """Best local alignment: (score, matched words, start, end in the text), linear gap cost.
+def align(item: np.ndarray, text: np.ndarray, least: int = 1) -> tuple[int, int, int, int]:
+    """Best local alignment of ``least`` matched words or more: (score, matched words, start, end in the text), linear gap cost; zeros if there is none.
+
+    Each place in the matrix stands for its best path; of equal scores the first row counts, then the first place.
 
     One row of the matrix per item word; gaps along the text are a running maximum. Each cell carries the
     matches and the start of its best path, so memory is linear in the text however long the item is. Of equal
@@ -113,8 +121,9 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
         top = np.maximum.accumulate(row)
         source = np.maximum.accumulate(np.where(row == top, places, 0))
         score, hits, first = top - slope, h[source], f[source]
-        j = int(np.argmax(score))
-        if score[j] > best[0]:
+        enough = np.where(hits >= least, score, 0)
+        j = int(np.argmax(enough))
+        if enough[j] > best[0]:
             best = int(score[j]), int(hits[j]), int(first[j]), j
     return best
 
@@ -146,7 +155,9 @@ def _loaded(path: str, similar: float) -> Block:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similar: float = SIMILAR, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(doc_id, item_id, score, similarity, start, end): the best alignment in each stretch of a document that copies an item.
+    """(doc_id, item_id, score, similarity, start, end): every copy of an item in a document, each once.
+
+    The best alignment that matches enough of the item comes first, is taken out of the text, and so on to both sides of it.
 
     similarity is the share of the item's words that the alignment matches; start and end are word places.
     Null or empty texts, items without words and items without id match nothing; a null doc_id stays null;

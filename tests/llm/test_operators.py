@@ -2,6 +2,8 @@
 
 import base64
 import hashlib
+import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -376,3 +378,66 @@ def test_html_comments_and_cards_as_articles():
     side = "<div class=comments><article><p>Nice one!</p></article><article><p>I do not think so at all, sorry.</p></article></div><div class='related'><article><a href=x>Next</a></article></div>"
     assert html_text.main_text(body + side, tree) == f"My own head {long_} {long_}"
     assert html_text.main_text(f"<article>{body}</article><div><p>{long_} outside</p></div>{side}", tree) == f"My own head {long_} {long_}"
+
+
+def test_html_keeps_pages_in_forms_open_heads_and_layout_names():
+    long_, more = " ".join(["word"] * 60), " ".join(["text"] * 45)
+    tree, body = html_text.trained(), f"<h1>My head</h1><p>{long_}</p><p>{more}</p>"
+    want = f"My head {long_} {more}"
+    for page in (
+        f"<html><body><form id=aspnetForm>{body}</form></body></html>", f"<html><body><form id=aspnetForm><article>{body}</article></form></body></html>",
+        f"<html><head><title>T</title><meta charset=utf-8><body><article>{body}</article></body></html>", f"<html><head><title>T</title><article>{body}</article>", f"<html><head><title>T</title><meta charset=utf-8><div>{body}</div>",
+        f'<div id="wrapper" class="sidebar-right"><article>{body}</article></div>', f'<header><h1>Site</h1></header><div class="page sidebar-left"><article>{body}</article><div class=sidebar><p>{more}</p></div></div>',
+        f'<article>{body}</article><section class="discussion"><p>{long_}</p><p>{more}</p></section>', f'<article>{body}</article><div id="disqus_thread"><p>{long_} {more} {long_}</p></div>',
+        f"<article>{body}</article><form><p>Your name and address please {more} {long_} {long_}</p></form>", f"<article>{body}</article><div class=comments><article><h1>x</h1><p>{long_} {long_} {long_}</p></article></div>",
+    ):
+        assert html_text.main_text(page, tree) == want, page[:90]
+
+
+def every_copy(item: list[str], text: list[str], least: int) -> list[tuple[int, int, int, int]]:
+    """(score, matched, start, end) of the copies, by the plain matrix of the whole text; the best first, then to both its sides."""
+    left, found = [(0, len(text))], []
+    while left:
+        lo, hi = left.pop()
+        best, above = (0, 0, 0, 0), [(0, 0, j) for j in range(hi - lo + 1)]
+        for word in item:
+            row = [(0, 0, 0)]
+            for j in range(1, hi - lo + 1):
+                same = text[lo + j - 1] == word
+                diagonal, up, before = above[j - 1][0] + (2 if same else -1), above[j][0] - 1, row[-1][0] - 1
+                path = (diagonal, above[j - 1][1] + same, above[j - 1][2]) if diagonal >= up else (up, *above[j][1:])
+                path = path if path[0] >= before else (before, *row[-1][1:])
+                row.append(path if path[0] > 0 else (0, 0, j))
+            above = row
+            enough = max((s if h >= least else 0, -j) for j, (s, h, _) in enumerate(row))
+            if enough[0] > best[0]:
+                s, h, f = row[-enough[1]]
+                best = (s, h, f, -enough[1])
+        if best[0]:
+            score, matched, a, e = best
+            found.append((score, matched, lo + a, lo + e))
+            left += [(lo, lo + a), (lo + e, hi)]
+    return sorted(found)
+
+
+def test_decontamination_tells_every_copy_once():
+    r = random.Random(8)
+    for n in range(60):
+        size = r.choice([5, 8, 15, 30])
+        item = [f"i{r.randrange(size)}" for _ in range(size)]
+        text = []
+        for _ in range(r.randrange(1, 4)):
+            text += [f"o{r.randrange(50)}" for _ in range(r.choice([0, 3, 4, 17, 2 * size, 3 * size + n % 7]))]
+            copy = [w if r.random() > 0.08 else "x" for w in item if r.random() > 0.05]
+            for _ in range(r.randrange(3)):
+                copy.insert(r.randrange(len(copy)), "y")
+            text += copy
+        block = decontaminate.Block([(1, item), (2, ["z"])], 0.8)
+        got = sorted((score, round(similarity * len(item)), a, e) for _, score, similarity, a, e in block.search(" ".join(text), 0.8))
+        assert got == every_copy(item, text, math.ceil(0.8 * len(item) - 1e-9)), (item, text)
+    words = [f"w{i}" for i in range(100)]
+    block = decontaminate.Block([(1, words)], 0.8)
+    for gap in (0, 1, 4, 295, 299, 300, 301):
+        filler = [f"f{i}" for i in range(gap)]
+        assert [x[3:] for x in block.search(" ".join(filler + words), 0.8)] == [(gap, gap + 100)]
+        assert sorted(x[3:] for x in block.search(" ".join(words + filler + words), 0.8)) == [(0, 100), (100 + gap, 200 + gap)]
