@@ -34,25 +34,32 @@ def by_file_prefixes(staged: DataFrame, held: DataFrame, unit: str, name: str, t
 
 
 def by_extents(staged: DataFrame, held: DataFrame, unit: str, parts: list[str]) -> DataFrame:
-    """unit, relation by numbers compared one by one: below where none is greater."""
+    """unit, relation by numbers compared one by one: below where none is greater. A null number is below every other."""
     s, h = F.struct(*parts), F.struct(*parts)
     both = staged.select(unit, s.alias("s")).join(held.select(unit, h.alias("h")), unit, "left")
+    at_most = lambda a, b: F.col(a).isNull() | F.coalesce(F.col(a) <= F.col(b), F.lit(False))
     le = ge = F.lit(True)
     for p in parts:
-        le, ge = le & (F.col(f"h.{p}") <= F.col(f"s.{p}")), ge & (F.col(f"s.{p}") <= F.col(f"h.{p}"))
+        le, ge = le & at_most(f"h.{p}", f"s.{p}"), ge & at_most(f"s.{p}", f"h.{p}")
     return both.select(unit, lattice(F.col("h").isNull(), le, ge).alias("relation"))
 
 
-def by_mirror(staged: DataFrame, held: DataFrame, unit: str, value: str) -> DataFrame:
-    """unit, relation of a mirror: any difference is an extension, never ahead or diverged."""
-    both = _sides(staged, held, [unit], value).where("in_s")
-    return both.select(unit, F.when(F.col("in_h").isNull(), "ABSENT").when(F.col("s").eqNullSafe(F.col("h")), "IDENTICAL").otherwise("EXTENDS").alias("relation"))
+def _as_whole(staged: DataFrame, held: DataFrame, unit: str, value: str, name: str | None, otherwise: str) -> DataFrame:
+    """unit, relation: IDENTICAL where both sides have the same files (by name, or by value where files have none), all equal."""
+    files = lambda df: df.select(F.col(unit), F.xxhash64(name or value).alias("file_"), F.col(value).alias("value_")).distinct()
+    both = _sides(files(staged), files(held), [unit, "file_"], "value_").groupBy(unit).agg(
+        F.count("in_s").alias("n_s"), F.count("in_h").alias("n_h"), F.every(F.col("in_s").isNotNull() & F.col("in_h").isNotNull() & F.col("s").eqNullSafe(F.col("h"))).alias("same"))
+    return both.where("n_s > 0").select(unit, F.when(F.col("n_h") == 0, "ABSENT").when(F.col("same"), "IDENTICAL").otherwise(otherwise).alias("relation"))
 
 
-def by_whole(staged: DataFrame, held: DataFrame, unit: str, value: str) -> DataFrame:
-    """unit, relation of what is only ever replaced whole: any difference is diverged."""
-    both = _sides(staged, held, [unit], value).where("in_s")
-    return both.select(unit, F.when(F.col("in_h").isNull(), "ABSENT").when(F.col("s").eqNullSafe(F.col("h")), "IDENTICAL").otherwise("DIVERGED").alias("relation"))
+def by_mirror(staged: DataFrame, held: DataFrame, unit: str, value: str, name: str | None = None) -> DataFrame:
+    """unit, relation of a mirror, one row a unit whatever its number of files: any difference is an extension, never ahead or diverged."""
+    return _as_whole(staged, held, unit, value, name, "EXTENDS")
+
+
+def by_whole(staged: DataFrame, held: DataFrame, unit: str, value: str, name: str | None = None) -> DataFrame:
+    """unit, relation of what is only ever replaced whole, one row a unit: any difference is diverged."""
+    return _as_whole(staged, held, unit, value, name, "DIVERGED")
 
 
 @dataclass(frozen=True)
@@ -136,14 +143,15 @@ def prefix_duplicates(units: DataFrame, key: str, text: str, block: int = 64) ->
     A text and those that it begins agree in their first ``block`` characters, so these join by equality; texts
     shorter than that join by their whole. Empty and null texts are held by none.
     """
-    rows = units.select(key, F.col(text).alias("t")).where("t <> ''")
+    wanted, key = key, "key_"
+    rows = units.select(F.col(wanted).alias(key), F.col(text).alias("t")).where("t <> ''")
     short = rows.where(F.length("t") < block).select(F.length("t").alias("n")).distinct()
     heads = rows.select(key, "t", F.substring("t", 1, block).alias("k"))
     # lengths under the block are at most block - 1 rows
     cuts = rows.join(F.broadcast(short), F.length("t") > F.col("n")).select(F.col(key).alias("holder"), F.length("t").alias("m"), F.expr("left(t, n)").alias("k"), F.col("t").alias("whole"))
     long_ = heads.where(F.length("t") >= block).select(F.col(key).alias("holder"), F.length("t").alias("m"), "k", F.col("t").alias("whole"))
     pairs = heads.join(cuts.union(long_), "k").where(F.startswith("whole", "t") & (F.col("m") > F.length("t")))
-    return pairs.groupBy(key).agg(F.min(F.struct((-F.col("m")).alias("m"), "holder")).alias("b")).select(key, "b.holder")
+    return pairs.groupBy(key).agg(F.min(F.struct((-F.col("m")).alias("m"), "holder")).alias("b")).select(F.col(key).alias(wanted), "b.holder")
 
 
 def fuller(copies: DataFrame, key: str, size: str, near: str, place: str) -> DataFrame:

@@ -63,7 +63,24 @@ def uncovered(docs: DataFrame, heads: DataFrame, rejected: DataFrame, top: int =
     """
     found = docs.select("doc_id", F.explode(words(F.col("text"))).alias("word")).groupBy("doc_id", "word").agg(F.count("*").alias("n"))
     ranked = found.groupBy("word").agg(F.count("doc_id").alias("docs"), F.sum("n").alias("count"))
-    parts = ranked.select("word", F.regexp_extract_all("word", F.lit("[a-z]+|['-]"), F.lit(0)).alias("p"))
+    return _open(ranked, heads, rejected, top)
+
+
+def advisory(docs: DataFrame, heads: DataFrame, rejected: DataFrame, stop: DataFrame, top: int = 50) -> DataFrame:
+    """word, docs, count: as ``uncovered``, over words of four characters and more that begin with a letter, in lower case, without marks at their ends.
+
+    Letters are those of ASCII; both apostrophes and the hyphen are marks. stop(word) are words that say nothing; the list is the
+    caller's. What is shorter than four characters once its marks are gone still counts.
+    """
+    found = docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z][A-Za-z'\u2019-]{3,}"), F.lit(0))).alias("w"))
+    found = found.select("doc_id", F.expr("trim(both '\\'\u2019-' from lower(w))").alias("word")).groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+    ranked = found.groupBy("word").agg(F.count("doc_id").alias("docs"), F.sum("n").alias("count"))
+    return _open(ranked, heads, rejected.select("text").union(stop.select("word")), top)
+
+
+def _open(ranked: DataFrame, heads: DataFrame, rejected: DataFrame, top: int) -> DataFrame:
+    """The first words of ranked(word, docs, count) that are not rejected and that no headword covers."""
+    parts = ranked.select("word", F.regexp_extract_all("word", F.lit("[a-z]+|['\u2019-]"), F.lit(0)).alias("p"))
     runs = parts.select("word", F.explode(F.expr("flatten(transform(sequence(1, size(p)), i -> transform(sequence(1, size(p) - i + 1), n -> array_join(slice(p, i, n), ''))))")).alias("head"))
     covered = runs.join(heads.select(F.lower("text").alias("head")), "head", "left_semi").select("word")
     gone = covered.union(rejected.select(F.lower("text").alias("word")))

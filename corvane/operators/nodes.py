@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 
 from corvane.session import settled
 
-#: Words of a schema that describe and do not restrict.
-ANNOTATIONS = ("$schema", "id", "title", "description", "default")
-
 _KINDS = {dict: "object", list: "array", str: "string", bool: "boolean", int: "integer", float: "number", type(None): "null"}
 _FIELDS = [("pointer", pa.string()), ("parent", pa.string()), ("step", pa.string()), ("pattern", pa.string()), ("kind", pa.string()), ("value", pa.string()), ("place", pa.int64()), ("path", pa.list_(pa.string())), ("within", pa.string())]
 #: Nodes of one Arrow batch at least, save the last.
@@ -102,25 +99,6 @@ def falsified(tree: DataFrame, claims: DataFrame) -> DataFrame:
     return held.groupBy("pattern").agg(F.min(F.struct("doc", "pointer", "value")).alias("m")).select("pattern", "m.doc", "m.value")
 
 
-def restriction_digests(tree: DataFrame, annotations: tuple[str, ...] = ANNOTATIONS) -> DataFrame:
-    """doc, digest: of the nodes that no annotation holds, in the order of their pointers; equal for documents that restrict alike.
-
-    The list that is sorted is as long as one document. Keys count by name, wherever they stand.
-    """
-    under = "|".join("/" + a.replace("$", "\\$") for a in annotations)
-    kept = tree.where(~F.col("pointer").rlike(f"({under})(/|$)"))
-    lines = F.array_sort(F.collect_list(F.concat_ws("=", "pointer", "kind", "value")))
-    return kept.groupBy("doc").agg(F.sha2(F.array_join(lines, "\n"), 256).alias("digest"))
-
-
-def unrefined(tree: DataFrame, pairs: DataFrame, annotations: tuple[str, ...] = ANNOTATIONS) -> DataFrame:
-    """pairs(base, refined) of documents -> base, refined, pointer: restrictions of the base that the other lacks or changes."""
-    under = "|".join("/" + a.replace("$", "\\$") for a in annotations)
-    kept = tree.where(~F.col("pointer").rlike(f"({under})(/|$)")).select("doc", "pointer", "kind", F.coalesce("value", F.lit("")).alias("value"))
-    owed = pairs.join(kept.withColumnRenamed("doc", "base"), "base")
-    return owed.join(kept.withColumnRenamed("doc", "refined"), ["refined", "pointer", "kind", "value"], "left_anti").select("base", "refined", "pointer")
-
-
 def references(tree: DataFrame) -> DataFrame:
     """target, pattern, n: where each definition is referred to by ``$ref``, without the step of the reference itself."""
     found = tree.where("step = '$ref' and kind = 'string'")

@@ -106,6 +106,19 @@ def restrictions(placed: DataFrame, annotations: tuple[str, ...] = ANNOTATIONS)
     return placed.join(gone, placed.doc.eqNullSafe(gone.d) & (placed.pointer == gone.p), "left_anti")
 
 
+def restriction_digests(tree: DataFrame, moves: DataFrame) -> DataFrame:
+    """doc, digest: of the nodes that restrict, in the order of their pointers; equal for documents that restrict alike. The list that is sorted is as long as one document."""
+    lines = F.array_sort(F.collect_list(F.concat_ws("=", "pointer", "kind", "value")))
+    return restrictions(positions(tree, moves)).groupBy("doc").agg(F.sha2(F.array_join(lines, "\n"), 256).alias("digest"))
+
+
+def unrefined(tree: DataFrame, pairs: DataFrame, moves: DataFrame) -> DataFrame:
+    """pairs(base, refined) of documents -> base, refined, pointer: restrictions of the base that the other lacks or changes."""
+    kept = settled(restrictions(positions(tree, moves)).select("doc", "pointer", "kind", F.coalesce("value", F.lit("")).alias("value")))
+    owed = pairs.join(kept.withColumnRenamed("doc", "base"), "base")
+    return owed.join(kept.withColumnRenamed("doc", "refined"), ["refined", "pointer", "kind", "value"], "left_anti").select("base", "refined", "pointer")
+
+
 _ESCAPES = {"\\": "\\\\", '"': '\\"', "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"} | {chr(i): f"\\u{i:04x}" for i in range(32) if chr(i) not in "\n\r\t\b\f"}
 
 

@@ -134,13 +134,18 @@ def difference(declared: DataFrame, found: DataFrame, key: str) -> DataFrame:
 def resolved(typed: DataFrame, ids: DataFrame) -> DataFrame:
     """(typed), (id) -> typed, id: the one id that begins with what was typed; null where none or several do. A whole id is itself.
 
-    Both sides join on the first characters, as many as the shortest typed text has.
+    Whole ids join by equality. What is left joins on the beginnings of ids of the lengths that were typed, each length once; a text longer
+    than every id is none. Nulls resolve to null.
     """
-    n = F.length("typed")
-    cuts = typed.select(n.alias("n")).distinct()
-    spread = ids.select("id").distinct().join(F.broadcast(cuts.where("n <= 64")), F.length("id") >= F.col("n")).select("id", F.expr("left(id, n)").alias("typed"))
-    found = typed.select("typed").distinct().join(spread, "typed", "left").groupBy("typed").agg(F.count("id").alias("c"), F.max("id").alias("id"), F.max(F.when(F.col("id") == F.col("typed"), F.col("id"))).alias("whole"))
-    return found.select("typed", F.coalesce("whole", F.when(F.col("c") == 1, F.col("id"))).alias("id"))
+    asked, known = typed.select("typed").distinct(), ids.select("id").where("id is not null").distinct()
+    whole = asked.join(known, F.col("typed") == F.col("id"))
+    part = asked.join(whole.select("typed"), "typed", "left_anti")
+    longest = known.agg(F.max(F.length("id"))).first()[0] or 0
+    # at most as many rows as the longest id has characters
+    lengths = part.select(F.length("typed").alias("n")).where(F.col("n") <= longest).distinct()
+    begins = known.join(F.broadcast(lengths), F.length("id") >= F.col("n")).select("id", F.expr("left(id, n)").alias("typed"))
+    found = part.join(begins, "typed", "left").groupBy("typed").agg(F.count("id").alias("c"), F.max("id").alias("id"))
+    return whole.union(found.select("typed", F.when(F.col("c") == 1, F.col("id")).alias("id")))
 
 
 def word_table_diff(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from corvane.operators import definitions, nodes, schemas, validation
 from corvane.plans.catalog import query
-from corvane.plans.structure import event_documents, event_tree
+from corvane.plans.structure import draft_moves, event_documents, event_tree
 from corvane.session import table
 
 
@@ -16,10 +16,6 @@ def _told(spark, sf_dir, text):
     return nodes.nodes(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc"), F.expr(text).alias("text")))
 
 
-def _moves(spark):
-    return schemas.grammar(nodes.nodes(spark.createDataFrame([("meta", schemas.META_SCHEMA)], "doc string, text string")))
-
-
 _SCHEMA = """'{"title":"t","properties":{"title":{"type":"string","description":"d' || p_partkey || '","enum":["' || p_brand || '"]},"id":{"anyOf":[{"$ref":"#/definitions/d"},{"items":{"default":{"properties":{"q":{}}},"minimum":' || p_size || '}}]}},"definitions":{"d":{"id":"z","not":{"maximum":' || (p_size % 5) || '}}},"default":{"properties":{"w":{"title":"t"}}},"dependencies":{"title":["id"],"id":{"title":"x"}}}'"""
 _NODES = f"""n as (select doc, replace(replace(replace(substr(replace(t.fullkey, '"', ''), 2), '.', '/'), '[', '/'), ']', '') as pointer, lower(t.type) as kind, t.value ->> '$' as raw from (select p_partkey as doc, {_SCHEMA} as text from part) d, json_tree(d.text::json) t)"""
 #: Schemas stand where this matches a pointer: the language of the grammar's paths.
@@ -29,12 +25,12 @@ _AT = "((/(properties|patternProperties|definitions|dependencies)/[^/]+)|(/(item
 @query(f"""with {_NODES} select doc, pointer, case when kind = 'object' and regexp_full_match(pointer, '{_AT}') then 'schema' when kind = 'object' and regexp_full_match(pointer, '{_AT}/(properties|patternProperties|definitions|dependencies)') then 'map'
     when kind = 'array' and regexp_full_match(pointer, '{_AT}/(allOf|anyOf|oneOf|items)') then 'list' else 'value' end as position from n""")
 def schema_positions(spark, sf_dir):
-    return schemas.positions(_told(spark, sf_dir, _SCHEMA), _moves(spark)).select("doc", "pointer", "position")
+    return schemas.positions(_told(spark, sf_dir, _SCHEMA), draft_moves(spark)).select("doc", "pointer", "position")
 
 
 @query(f"with {_NODES} select doc, pointer, case when kind not in ('object', 'array') then raw end as value from n where not regexp_matches(pointer, '^{_AT}/(title|description|default|id|[$]schema)(/|$)') or regexp_full_match(pointer, '{_AT}')")
 def schema_restrictions(spark, sf_dir):
-    placed = schemas.positions(_told(spark, sf_dir, _SCHEMA), _moves(spark))
+    placed = schemas.positions(_told(spark, sf_dir, _SCHEMA), draft_moves(spark))
     return schemas.restrictions(placed).select("doc", "pointer", "value")
 
 

@@ -282,6 +282,17 @@ def uncovered_words(spark, sf_dir):
     return index.uncovered(table(spark, sf_dir, "documents"), terms.where("item_id % 2 = 0"), terms.where("item_id % 2 = 1"))
 
 
+@query(f"""with t as (select item_id, unnest(regexp_extract_all(lower(text), '[a-z]{{3,}}')) as term from benchmark),
+    d as (select doc_id, trim(lower(w), '''’-') as word from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z][A-Za-z''’\\-]{{3,}}')) as w from documents)),
+    w as (select word, count(distinct doc_id) as docs, count(*) as "count" from d group by word), p as (select word, unnest(regexp_extract_all(word, '[a-z]+')) as term from w)
+    select word, docs, "count" from w where word not in (select term from t where item_id % 2 = 1) and word not in ({_STOPS}) and word not in (select word from p join (select distinct term from t where item_id % 2 = 0) h using (term)) order by 2 desc, 3 desc, 1 limit 50""")
+def uncovered_words_advisory(spark, sf_dir):
+    """As ``uncovered_words``, of words of four characters and more without marks at their ends."""
+    terms = table(spark, sf_dir, "benchmark").select("item_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0))).alias("text"))
+    stop = spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
+    return index.advisory(table(spark, sf_dir, "documents"), terms.where("item_id % 2 = 0"), terms.where("item_id % 2 = 1"), stop)
+
+
 @query("""select count(*) filter (d.doc_id is not null and l.doc_id is not null) as captured, count(*) filter (l.doc_id is null) as never, count(*) filter (d.doc_id is null) as gone, count(*) as total
     from (select distinct doc_id from documents where doc_id % 10 <> 3) d full join (select distinct doc_id from labels) l on d.doc_id = l.doc_id""")
 def capture_coverage(spark, sf_dir):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corvane.operators import nodes, units
+from corvane.operators import nodes, schemas, units
 from corvane.plans.catalog import query
 from corvane.session import table
 
@@ -19,6 +19,11 @@ def event_documents(spark, sf_dir):
     return table(spark, sf_dir, "events").select(F.col("event_id").alias("doc"), F.expr(_TEXT).alias("text"))
 
 
+def draft_moves(spark):
+    """The grammar of draft-04 schemas."""
+    return schemas.grammar(nodes.nodes(spark.createDataFrame([("meta", schemas.META_SCHEMA)], "doc string, text string")))
+
+
 def event_tree(spark, sf_dir):
     return nodes.nodes(event_documents(spark, sf_dir))
 
@@ -51,14 +56,14 @@ def claims_falsified(spark, sf_dir):
 
 @query(f"with {_TREE} select doc, sha256(string_agg(pointer || '=' || kind || coalesce('=' || value, ''), chr(10) order by pointer || '=' || kind || coalesce('=' || value, ''))) as digest from nodes where pointer <> '/title' group by doc")
 def restriction_digests(spark, sf_dir):
-    return nodes.restriction_digests(event_tree(spark, sf_dir))
+    return schemas.restriction_digests(event_tree(spark, sf_dir), draft_moves(spark))
 
 
 @query(f"with {_TREE}, k as (select * from nodes where pointer <> '/title') select a.doc as base, a.doc + 1 as refined, a.pointer from k a join docs on docs.doc = a.doc + 1 left join k b on b.doc = a.doc + 1 and b.pointer = a.pointer and b.kind = a.kind and coalesce(b.value, '') = coalesce(a.value, '') where b.doc is null")
 def restrictions_changed(spark, sf_dir):
     docs = event_documents(spark, sf_dir)
     pairs = docs.select((F.col("doc") - 1).alias("base"), F.col("doc").alias("refined"))
-    return nodes.unrefined(event_tree(spark, sf_dir), pairs)
+    return schemas.unrefined(event_tree(spark, sf_dir), pairs, draft_moves(spark))
 
 
 @query(f"with {_TREE} select value as target, left(pattern, length(pattern) - 5) as pattern, count(*) as n from nodes where step = '$ref' group by all")

@@ -2,6 +2,8 @@
 
 import re
 
+import pytest
+
 from corvane.functions import text as tx
 from corvane.operators import copies, curation, projection, standing, trajectory
 from pyspark.sql import functions as F
@@ -85,3 +87,24 @@ def test_copies_of_odd_units(spark):
     assert {(r.k, r.holder, r.how) for r in copies.contained(atoms, ["g"], "k", "atom").collect()} == {(1, 2, "contained"), (3, 2, "contained")}
     resolved = standing.resolved(spark.createDataFrame([("ab",), ("abc",), ("z",)], "typed string"), spark.createDataFrame([("abc",), ("abcd",), ("zz",)], "id string"))
     assert {r.typed: r.id for r in resolved.collect()} == {"ab": None, "abc": "abc", "z": "zz"}
+    long_ = "sha256-" + "0123456789abcdef" * 4
+    ids = spark.createDataFrame([(long_,), (long_[:-1] + "x",), (None,)], "id string")
+    asked = [(long_,), (long_[:70],), (long_[:-1] + "x",), (long_ + "y",), (None,), (long_[:3],)]
+    assert {r.typed: r.id for r in standing.resolved(spark.createDataFrame(asked, "typed string"), ids).collect()} == {long_: long_, long_[:70]: None, long_[:-1] + "x": long_[:-1] + "x", long_ + "y": None, None: None, long_[:3]: None}
+
+
+def test_units_of_several_files_have_one_relation(spark):
+    s = spark.createDataFrame([("a", "1", "x"), ("a", "2", "y"), ("b", "1", "x"), ("c", "1", None), ("d", "1", "x")], "unit string, name string, digest string")
+    h = spark.createDataFrame([("a", "1", "x"), ("a", "2", "y"), ("b", "1", "x"), ("b", "2", "z"), ("c", "1", None)], "unit string, name string, digest string")
+    for args in (("unit", "digest"), ("unit", "digest", "name")):
+        assert {r.unit: r.relation for r in copies.by_mirror(s, h, *args).collect()} == {"a": "IDENTICAL", "b": "EXTENDS", "c": "IDENTICAL", "d": "ABSENT"}
+        assert sorted((r.unit, r.relation) for r in copies.by_whole(s, h, *args).collect()) == [("a", "IDENTICAL"), ("b", "DIVERGED"), ("c", "IDENTICAL"), ("d", "ABSENT")]
+    n = spark.createDataFrame([("p", 1, None), ("q", 2, 3)], "unit string, human int, total int")
+    m = spark.createDataFrame([("p", 1, 2), ("q", 1, None)], "unit string, human int, total int")
+    assert {r.unit: r.relation for r in copies.by_extents(n, m, "unit", ["human", "total"]).collect()} == {"p": "AHEAD", "q": "EXTENDS"}
+
+
+@pytest.mark.parametrize("key", ["k", "t", "n", "m", "whole", "holder_", "id"])
+def test_prefix_duplicates_whatever_the_key_is_called(spark, key):
+    units = spark.createDataFrame([(1, "ab"), (2, "abc"), (3, "zz"), (4, "q" * 70), (5, "q" * 80)], f"{key} long, text string")
+    assert sorted(tuple(r) for r in copies.prefix_duplicates(units, key, "text").collect()) == [(1, 2), (4, 5)]

@@ -23,3 +23,10 @@ def test_uncovered_words_of_all_languages(spark):
     found = [tuple(r) for r in index.uncovered(docs, heads, rejected).collect()]
     assert found == [("maison", 2, 3), ("harbour", 2, 2), ("swell", 1, 1), ("wellness", 1, 1)]
     assert index.uncovered(docs, heads.where("false"), rejected.where("false")).count() == 6
+
+
+def test_advisory_words_have_four_letters_and_no_marks_at_their_ends(spark):
+    docs = spark.createDataFrame([(1, "zebra- Zebra 'zebra fox foxes well-known don\u2019t don't a--- x"), (2, "foxes \u2019zebra\u2019s unknown Known-well"), (3, None)], "doc_id long, text string")
+    heads, rejected, stop = (spark.createDataFrame([(w,) for w in words], f"{name} string") for words, name in ((["Known"], "text"), (["FOXES"], "text"), (["don't"], "word")))
+    found = {r.word: (r.docs, r["count"]) for r in index.advisory(docs, heads, rejected, stop).collect()}
+    assert found == {"zebra": (1, 3), "zebra\u2019s": (1, 1), "unknown": (1, 1), "don\u2019t": (1, 1), "a": (1, 1)}

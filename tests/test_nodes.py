@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from corvane.operators import nodes
+from corvane.operators import nodes, schemas
 
 RECORDS = [
     {"type": "c"}, {"type": "b", "y": 1}, {"type": "t", "content": [{"type": "x"}, {"type": "z"}]}, {"type": "t", "content": [], "a/b": {"k~": [[], [None, 1.5, True]]}}, {"type": "b", "y": 1, "z": -2}, 7, [],
@@ -75,11 +75,15 @@ def test_verdicts_name_the_union(spark, docs, tree):
 def test_restrictions_leave_annotations_out(spark):
     texts = ['{"type":"object","title":"one","properties":{"a":{"enum":[1]}}}', '{"properties":{"a":{"enum":[1],"description":{"x":1}}},"type":"object"}', '{"type":"object","properties":{"a":{"enum":[2]}}}', '{"type":"object","properties":{"a":{"enum":[1],"minimum":1},"b":{"$ref":"#/definitions/X"}}}']
     tree = nodes.nodes(spark.createDataFrame(list(enumerate(texts)), "doc long, text string"))
-    digest = {r.doc: r.digest for r in nodes.restriction_digests(tree).collect()}
+    moves = schemas.grammar(nodes.nodes(spark.createDataFrame([("meta", schemas.META_SCHEMA)], "doc string, text string"))).persist()
+    digest = {r.doc: r.digest for r in schemas.restriction_digests(tree, moves).collect()}
     assert digest[0] == digest[1] and len(set(digest.values())) == 3
     pairs = spark.createDataFrame([(0, 1), (0, 2), (0, 3), (3, 0)], "base long, refined long")
-    assert {tuple(r) for r in nodes.unrefined(tree, pairs).collect()} == {(0, 2, "/properties/a/enum/0"), (3, 0, "/properties/a/minimum"), (3, 0, "/properties/b"), (3, 0, "/properties/b/$ref")}
+    assert {tuple(r) for r in schemas.unrefined(tree, pairs, moves).collect()} == {(0, 2, "/properties/a/enum/0"), (3, 0, "/properties/a/minimum"), (3, 0, "/properties/b"), (3, 0, "/properties/b/$ref")}
     assert [tuple(r) for r in nodes.references(tree).collect()] == [("#/definitions/X", "/properties/b", 1)]
+    named = nodes.nodes(spark.createDataFrame([(k, '{"properties":{"id":{"type":"%s"}}}' % kind) for k, kind in enumerate(["string", "integer"])], "doc long, text string"))
+    assert len({r.digest for r in schemas.restriction_digests(named, moves).collect()}) == 2
+    assert [tuple(r) for r in schemas.unrefined(named, spark.createDataFrame([(0, 1)], "base long, refined long"), moves).collect()] == [(0, 1, "/properties/id/type")]
 
 
 def test_walks_with_cycles(spark):
