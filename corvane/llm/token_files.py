@@ -183,7 +183,7 @@ class Units:
         # letters and the punctuation that ends them are two pre-tokens
         ended = [(u, b) for u, b in zip(rest, [u.rstrip(string.punctuation) for u in rest], strict=True) if len(b) < len(u) and b.isalpha()]
         bases = [b for _, b in ended]
-        letters += set(bases) - self.inner.keys() - set(letters)
+        letters += set(bases).difference(self.inner, letters)
         for some in (list(filter(str.isascii, letters)), list(filterfalse(str.isascii, letters))):
             if some:
                 text = "\n".join(some)
@@ -192,7 +192,7 @@ class Units:
                 ids = self.letters.encode_batch_fast([space + text.replace("\n", f"\n{space}")], add_special_tokens=False)[0].ids
                 self.part(some, list(map(len, text.split("\n"))), ids)
         tails = [u[len(b) :] for u, b in ended]
-        if unknown := list(set(tails) - self.tails.keys()):
+        if unknown := list(set(tails).difference(self.tails)):
             self.tails.update(zip(unknown, self.alone(unknown), strict=True))
         self.inner.update([(u, self.inner[b] + self.tails[t]) for (u, b), t in zip(ended, tails, strict=True)])
         rest = list(set(rest) - dict(ended).keys())
@@ -213,10 +213,10 @@ class Units:
         """Ids of each text as bytes of ``width``."""
         split = [units(t) for t in texts]
         heads = [u.pop(0) for u in split]
-        if new := list(set(heads) - self.heads.keys()):
+        if new := list(set(heads).difference(self.heads)):
             self.heads.update(zip(new, self.alone(new), strict=True))
             self.held += sum(map(len, new))
-        if new := list(set().union(*split) - self.inner.keys()):
+        if new := list(set().union(*split).difference(self.inner)):
             self.learn(new)
         out = [self.heads[h] + b"".join(map(self.inner.__getitem__, u)) for h, u in zip(heads, split, strict=True)]
         if self.held > REMEMBERED:
@@ -227,11 +227,14 @@ class Units:
 #: a space that follows white space, or begins the text: there a text does not part
 _LOOSE = re.compile(r"(?:^|[\s\x85\u180e]) ")
 
+#: The same pairs in a text of ASCII.
+_PAIRS = [f"{x} " for x in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"]
+
 
 def units(text: str) -> list[str]:
     """The text parted at its spaces, save at those after white space; the spaces between units are left out."""
     parts = text.split(" ")
-    if not _LOOSE.search(text):
+    if not (any(x in text for x in _PAIRS) or text[:1] == " ") if text.isascii() else not _LOOSE.search(text):
         return parts
     found, held = [], [parts[0]]
     for part in parts[1:]:
