@@ -84,6 +84,21 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     return Model(mean, scale, w)
 
 
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray, margin: float = 0.01, doubt: float = 0.1) -> float:
+    """The share of positives among the unlabelled, from these two alone (best bin estimate).
+
+    A scorer is fitted on half of either. On the other halves, above any threshold, the unlabelled hold at least the prior's share of what
+    the positives hold there; the threshold whose ratio is surely least, its error allowed for, gives the estimate.
+    """
+    model = fit(positive[::2], unlabelled[::2], 0.5, steps=600)
+    p, u = (np.sort(model.score(x[1::2] if len(x) > 1 else x)) for x in (positive, unlabelled))
+    at = np.unique(p)
+    above_p, above_u = (1 - np.searchsorted(x, at) / len(x) for x in (p, u))
+    error = sum(np.sqrt(np.log(4 / doubt) / (2 * len(x))) for x in (p, u))
+    best = int(np.argmin((above_u + (1 + margin) * error) / above_p))
+    return float(min(1.0, above_u[best] / above_p[best]))
+
+
 def with_features(docs: DataFrame, extra: list[str], model: Model | None = None) -> DataFrame:
     """The extra columns and either the features or the score of each text."""
     bounded_batches(docs.sparkSession)
@@ -108,16 +123,13 @@ def held_out(doc_id: str = "doc_id"):
 def learn(docs: DataFrame, labels: DataFrame, sample: int = 6000, prior: float | None = None) -> Model:
     """Fit on at most ``sample`` positives and ``sample`` unlabelled documents, chosen by a hash of doc_id.
 
-    Labels of held-out rows are not read. The prior is the share of label 1 among the labels learnt from
-    (0.5 where there are none). Contradictory labels of one document count as its mean. Of several texts under
+    Labels of held-out rows are not read, and of the others only which are positive. The prior is estimated from these two samples
+    (``class_prior``) where none is given. Contradictory labels of one document count as its mean. Of several texts under
     one doc_id the least counts, so that the model is always the same. Without positives the score is 0.5 everywhere.
     """
     order = F.xxhash64("doc_id", F.lit(7))
     known = labels.where(~held_out() & F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.avg("quality").alias("q"))
     good = [r.doc_id for r in known.where("q > 0.5").orderBy(order, "doc_id").limit(sample).select("doc_id").collect()]
-    if prior is None:
-        prior = known.agg(F.avg("q")).first()[0]
-        prior = 0.5 if prior is None else min(0.95, max(0.05, prior))
     plain = docs.where(~held_out() & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     free = [r.doc_id for r in plain.orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(sample).collect()]
     if not good or not free:
@@ -129,7 +141,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 6000, prior: float |
     p, u = np.array([r.x for r in rows if r.good]), np.array([r.x for r in rows if not r.good])
     if not len(p) or not len(u):
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(2 * N_FEATURES + 1))
-    return fit(p, u, prior)
+    return fit(p, u, class_prior(p, u) if prior is None else prior)
 
 
 def score(docs: DataFrame, labels: DataFrame, sample: int = 6000) -> DataFrame:
