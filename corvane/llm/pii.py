@@ -34,9 +34,9 @@ MORE = {
     "local_phone": r"(?<![0-9A-Za-z+.,/-])\(?[0-9]{2,5}\)?(?:[ ./-]{1,2}[0-9]{2,7}){1,5}+(?![0-9A-Za-z]|[.,/-][0-9])",
     "national_id": r"(?<![0-9A-Za-z.,/-])(?:[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}|[0-9]{8}-?[A-Z]|[12] ?[0-9]{2} ?[0-9]{2} ?[0-9]{2} ?[0-9]{3} ?[0-9]{3}(?: ?[0-9]{2})?|[0-9]{2} ?[0-9]{6} ?[A-Z] ?[0-9]{3})(?![0-9A-Za-z-])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
-    "spelled_email": r"(?<![A-Za-z0-9])[A-Za-z0-9._%+-]{1,64} ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[\[(] ?dot ?[\])]) ?[A-Za-z0-9-]{1,63}){1,4}",
+    "spelled_email": r"(?<![A-Za-z0-9])[A-Za-z0-9._%+-]++ ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(] ?dot ?[\])]) ?[A-Za-z0-9-]++)+",
     "birth_date": r"(?<![0-9A-Za-z.,/-])(?:(?:[0-9]{1,2}[.][0-9]{1,2}[.]|[0-9]{1,2}/[0-9]{1,2}/|[0-9]{1,2}-[0-9]{1,2}-)(?:[0-9]{4}|[0-9]{2})|[0-9]{4}-[0-9]{2}-[0-9]{2})(?![0-9A-Za-z]|[./-][0-9])",
-    "secret": r"(?<![A-Za-z0-9_+/=.-])(?=[A-Za-z_+/-]{0,80}[0-9])[A-Za-z0-9_+/-]{10,200}+={0,2}(?![A-Za-z0-9_+/=@-])",
+    "secret": r"(?<![A-Za-z0-9_+/=.-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{10,}+(?:\.[A-Za-z0-9_+/-]{10,}+)*+={0,2}(?![A-Za-z0-9_+/=@-])",
 }
 KINDS = [*BASE, *MORE]
 #: What a text must hold for a pattern to match at all: a cheap look that spares most texts the patterns.

@@ -441,3 +441,33 @@ def test_decontamination_tells_every_copy_once():
         filler = [f"f{i}" for i in range(gap)]
         assert [x[3:] for x in block.search(" ".join(filler + words), 0.8)] == [(gap, gap + 100)]
         assert sorted(x[3:] for x in block.search(" ".join(words + filler + words), 0.8)) == [(0, 100), (100 + gap, 200 + gap)]
+
+
+def test_prior_is_found_and_the_risk_is_minimised():
+    rng = np.random.default_rng(3)
+    for share in (0.02, 0.3, 0.85):
+        good, bad = rng.normal(2, 1, (3000, 3)), rng.normal(-2, 1, (3000, 3))
+        n = int(3000 * share)
+        unlabelled = np.concatenate([good[:n], bad[: 3000 - n]])[rng.permutation(3000)]
+        found = quality.class_prior(good[1500:], unlabelled)
+        assert abs(found - share) < 0.04, (share, found)
+        model = quality.fit(good[1500:], unlabelled, found)
+        told = model.score(np.concatenate([rng.normal(2, 1, (500, 3)), rng.normal(-2, 1, (500, 3))])) >= 0.5
+        assert (told[:500].mean() > 0.9 or share < 0.1) and told[500:].mean() < 0.1
+
+        # the corrected risk of the fit is not above that of the weights around it
+        expand = lambda x: quality.expand((x - model.mean) / model.scale)
+
+        def risk(w, p=expand(good[1500:]), u=expand(unlabelled), prior=found):
+            loss = lambda z: 1 / (1 + np.exp(z))
+            return prior * loss(p @ w).mean() + max(0.0, loss(-(u @ w)).mean() - prior * loss(-(p @ w)).mean()) + 0.5e-3 * w @ w
+
+        least = risk(model.weights)
+        assert all(least <= risk(model.weights + rng.normal(0, 0.3, len(model.weights))) + 2e-3 for _ in range(20))
+
+
+def test_pii_finds_tokens_and_spelled_addresses_of_any_length(spark):
+    long_, token = "a1B2c3D4e5" * 30, "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"
+    texts = [f'token = "{long_}" end', f"Authorization: Bearer {token} ok", f"write to {'x' * 70} [at] mail [dot] one [dot] two [dot] three [dot] example [dot] org now"]
+    got = {r.doc_id: r.spans for r in pii.digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got[0] == "secret:9:309" and got[1] == f"secret:22:{22 + len(token)}" and got[2].startswith(f"spelled_email:9:{len(texts[2]) - 4}")
