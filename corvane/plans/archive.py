@@ -390,10 +390,10 @@ def store_census(spark, sf_dir):
     return standing.census(table(spark, sf_dir, "documents"), ["source", "lang"], "n_chars")
 
 
-@query("""with f as (select event_type as stage, user_id % 40 as fault, user_id as subject, min(event_id) as pos from events where event_id % 5 = 0 group by all)
+@query("""with f as (select event_type as stage, user_id % 40 as fault, user_id as subject, min(event_id) as pos from events group by all)
     select stage, fault, string_agg(cast(subject as varchar), ', ' order by pos, subject) as subjects, count(*) as n from f group by stage, fault""")
 def fault_groups(spark, sf_dir):
-    return standing.fault_groups(table(spark, sf_dir, "events").where("event_id % 5 = 0").selectExpr("event_id as pos", "event_type as stage", "user_id as subject", "user_id % 40 as fault"))
+    return standing.fault_groups(table(spark, sf_dir, "events").selectExpr("event_id as pos", "event_type as stage", "user_id as subject", "user_id % 40 as fault"))
 
 
 @query("""with r as (select event_type as type, case when user_id % 2 = 0 then ['a', 'type', 'u'] else ['type', 'value'] end as keys from events) select type, (select count(*) from r s where s.type = t.type) as records, string_agg(k, ',' order by k) as keys

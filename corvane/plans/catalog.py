@@ -264,10 +264,10 @@ def book_index_topk(spark, sf_dir):
     return shown.join(found.groupBy("item_id").agg(F.count("*").alias("n")), "item_id").select("item_id", "doc_id", F.greatest(F.col("n") - 4, F.lit(0)).alias("more"))
 
 
-@query(f"""select word, count(distinct doc_id) as docs, count(*) as "count" from (select doc_id, unnest(regexp_extract_all(lower(text), '[a-z][a-z''\\-]{{2,}}')) as word from documents where lang = 'en')
+@query(f"""select word, count(distinct doc_id) as docs, count(*) as "count" from (select doc_id, unnest(regexp_extract_all(lower(text), '[a-z][a-z''\\-]{{2,}}')) as word from documents)
     where word not in ({_STOPS}) group by word order by 2 desc, 3 desc, 1 limit 50""")
 def uncovered_words_top(spark, sf_dir):
-    found = table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", F.explode(words(F.col("text"))).alias("word"))
+    found = table(spark, sf_dir, "documents").select("doc_id", F.explode(words(F.col("text"))).alias("word"))
     per = found.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
     return per.groupBy("word").agg(F.count("*").alias("docs"), F.sum("n").alias("count")).orderBy(F.desc("docs"), F.desc("count"), "word").limit(50)
 
@@ -468,9 +468,9 @@ def conversation_currency(spark, sf_dir):
     return relations.currency(said.where("conv_id % 6 <> 4 and (conv_id % 3 <> 0 or turn < 3)"), other, "conv_id", "turn", "at", "export")
 
 
-@query("""select user_id, event_id, ts, event_type from (select *, event_type is distinct from lag(event_type) over (partition by user_id order by ts, event_id) as new from events where event_type <> 'signup') where new""")
+@query("""select user_id, event_id, ts, event_type from (select *, event_type is distinct from lag(event_type) over (partition by user_id order by ts, event_id) as new from events) where new""")
 def readings_collapsed(spark, sf_dir):
-    events = table(spark, sf_dir, "events").where("event_type <> 'signup'")
+    events = table(spark, sf_dir, "events")
     found = trajectory.deposits(events, "user_id", ["ts", "event_id"], "event_type")
     return found.where("verdict = 'deposited'").select("user_id", "event_id", "ts", "event_type")
 

@@ -79,17 +79,17 @@ def corpus_title(spark, sf_dir):
     return library.title_range(table(spark, sf_dir, "events"), ["event_type"], "ts")
 
 
-@query("""with n as (select r_name, n_name, row_number() over (partition by r_name order by n_name) as r, count(*) over (partition by r_name) as c from nation join region on n_regionkey = r_regionkey where n_nationkey % 4 <> 3)
+@query("""with n as (select r_name, n_name, row_number() over (partition by r_name order by n_name) as r, count(*) over (partition by r_name) as c from nation join region on n_regionkey = r_regionkey)
     select r_name, string_agg(n_name, ', ' order by r) || case when max(c) > 4 then ', …' else '' end as names from n where r <= 4 group by r_name""")
 def labels_first_shown(spark, sf_dir):
-    both = table(spark, sf_dir, "nation").where("n_nationkey % 4 <> 3").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    both = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return library.first_shown(both, "r_name", "n_name")
 
 
-@query("select distinct l_suppkey as unit, l_linenumber as name from lineitem where l_suppkey % 3 > 0 and l_linenumber > 2")
+@query("select distinct l_suppkey as unit, l_linenumber as name from lineitem where l_linenumber > 2")
 def surplus_files(spark, sf_dir):
     files = table(spark, sf_dir, "lineitem").selectExpr("l_suppkey as unit", "l_linenumber as name")
-    return library.surplus(files, table(spark, sf_dir, "supplier").where("s_suppkey % 3 > 0").selectExpr("s_suppkey as unit", "explode(array(1, 2)) as name"))
+    return library.surplus(files, table(spark, sf_dir, "supplier").selectExpr("s_suppkey as unit", "explode(array(1, 2)) as name"))
 
 
 @query("select conv_id, turn, 'f/' || turn as path, text from conversations where turn % 3 > 0")
