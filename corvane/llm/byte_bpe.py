@@ -112,8 +112,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = 1 << 16, overla
     single = short.mapInArrow(run, ddl).select("doc_id", "ids", "decoded")
     many = pieces(docs, vocabulary.pattern, chunk, overlap).mapInArrow(run, ddl)
     many = many.groupBy("doc_key", "doc_id").agg(F.sort_array(F.collect_list(F.struct("piece_no", "ids", "decoded"))).alias("p"))
-    empty = F.lit(b"").cast("binary")
-    return single.unionByName(many.select("doc_id", F.flatten("p.ids").alias("ids"), F.aggregate("p.decoded", empty, lambda a, x: F.concat(a, x)).alias("decoded")))
+    # joined at once: bytes put together piece by piece would be copied as often as there are pieces
+    decoded = F.unhex(F.array_join(F.transform("p.decoded", lambda x: F.hex(x)), ""))
+    return single.unionByName(many.select("doc_id", F.flatten("p.ids").alias("ids"), decoded.alias("decoded")))
 
 
 def digest(docs: DataFrame, vocabulary: Vocabulary, **sizes: int) -> DataFrame:
