@@ -124,13 +124,15 @@ def contained(units: DataFrame, group: list[str], key: str, atom: str) -> DataFr
     """key, holder, how: units whose atoms another unit of the group holds too.
 
     'contained' names the fullest other unit that holds all of them and more (of equals the least key);
-    'identical' the least key of those with the same atoms. Pairs come from shared atoms, so units without any
-    in common never meet; an atom that very many units of a group share makes as many pairs.
+    'identical' the least key of those with the same atoms. A unit meets those that hold its rarest atom, and no others.
     """
     one = units.select(*group, key, atom).distinct()
     sizes = one.groupBy(*group, key).agg(F.count("*").alias("n"))
     other = one.withColumnRenamed(key, "holder")
-    shared = one.join(other, [*group, atom]).where(F.col(key) != F.col("holder")).groupBy(*group, key, "holder").agg(F.count("*").alias("shared"))
+    spread = one.groupBy(*group, atom).agg(F.count("*").alias("in_"))
+    rarest = one.join(spread, [*group, atom]).groupBy(*group, key).agg(F.min(F.struct("in_", atom)).alias("r")).select(*group, key, F.col(f"r.{atom}").alias(atom))
+    near = rarest.join(other, [*group, atom]).where(F.col(key) != F.col("holder")).select(*group, key, "holder")
+    shared = near.join(one, [*group, key]).join(other, [*group, "holder", atom]).groupBy(*group, key, "holder").agg(F.count("*").alias("shared"))
     paired = shared.join(sizes, [*group, key]).where("shared = n").join(sizes.select(*group, F.col(key).alias("holder"), F.col("n").alias("m")), [*group, "holder"])
     best = paired.groupBy(key).agg(F.min(F.when(F.col("m") > F.col("n"), F.struct((-F.col("m")).alias("m"), "holder"))).alias("full"), F.min(F.when(F.col("m") == F.col("n"), F.col("holder"))).alias("same"))
     found = best.where(F.col("full").isNotNull() | (F.col("same") < F.col(key)))
@@ -146,11 +148,12 @@ def prefix_duplicates(units: DataFrame, key: str, text: str, block: int = 64) ->
     wanted, key = key, "key_"
     rows = units.select(F.col(wanted).alias(key), F.col(text).alias("t")).where("t <> ''")
     short = rows.where(F.length("t") < block).select(F.length("t").alias("n")).distinct()
-    heads = rows.select(key, "t", F.substring("t", 1, block).alias("k"))
-    # lengths under the block are at most block - 1 rows
-    cuts = rows.join(F.broadcast(short), F.length("t") > F.col("n")).select(F.col(key).alias("holder"), F.length("t").alias("m"), F.expr("left(t, n)").alias("k"), F.col("t").alias("whole"))
-    long_ = heads.where(F.length("t") >= block).select(F.col(key).alias("holder"), F.length("t").alias("m"), "k", F.col("t").alias("whole"))
-    pairs = heads.join(cuts.union(long_), "k").where(F.startswith("whole", "t") & (F.col("m") > F.length("t")))
+    # lengths under the block are at most block - 1 rows; what equals a cut begins it, so no text travels with the cuts
+    cuts = rows.join(F.broadcast(short), F.length("t") > F.col("n")).select(F.col(key).alias("holder"), F.length("t").alias("m"), F.expr("left(t, n)").alias("k"))
+    brief = rows.where(F.length("t") < block).select(key, F.col("t").alias("k")).join(cuts, "k").select(key, "holder", "m")
+    long_ = rows.where(F.length("t") >= block).select(key, "t", F.substring("t", 1, block).alias("k"))
+    held = long_.select(F.col(key).alias("holder"), F.length("t").alias("m"), "k", F.col("t").alias("whole"))
+    pairs = brief.union(long_.join(held, "k").where(F.startswith("whole", "t") & (F.col("m") > F.length("t"))).select(key, "holder", "m"))
     return pairs.groupBy(key).agg(F.min(F.struct((-F.col("m")).alias("m"), "holder")).alias("b")).select(F.col(key).alias(wanted), "b.holder")
 
 
