@@ -114,8 +114,10 @@ def queue_moved(listed: DataFrame, live: DataFrame) -> DataFrame:
 
 
 def letter_buckets(heads: DataFrame, key: str = "head") -> DataFrame:
-    """letter, heads: how many headwords stand under each letter, a dot for those that begin with none."""
-    letter = F.upper(F.substring(key, 1, 1))
+    """letter, heads: how many headwords stand under each letter, a dot for those that begin with none. A letter stays one in capitals: ẞ, not SS."""
+    first = F.substring(key, 1, 1)
+    large, title = F.upper(first), F.initcap(first)
+    letter = F.when(F.length(large) == 1, large).when(first == "ß", "ẞ").when(F.length(title) == 1, title).otherwise(first)
     return heads.groupBy(F.when(letter.rlike(r"^\p{L}$"), letter).otherwise("·").alias("letter")).agg(F.count("*").alias("heads"))
 
 

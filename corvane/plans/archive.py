@@ -451,7 +451,7 @@ def word_table_diff(spark, sf_dir):
     select coalesce(n.g, o.g) as g, count(*) filter (o.s_suppkey is null) as added, count(*) filter (n.s_suppkey is null) as removed, count(*) filter (o.b <> n.b) as changed, cast(coalesce(sum(n.b), 0) - coalesce(sum(o.b), 0) as bigint) as b
     from o full join n on o.s_suppkey = n.s_suppkey group by 1""")
 def table_diff_totals(spark, sf_dir):
-    rows = table(spark, sf_dir, "supplier").selectExpr("s_suppkey", "s_nationkey as g", "cast(round(s_acctbal) as long) as b")
+    rows = table(spark, sf_dir, "supplier").selectExpr("s_suppkey", "s_nationkey as g", "cast(rint(s_acctbal) as long) as b")
     return standing.table_diff_totals(rows.where("s_suppkey % 9 <> 1"), rows.where("s_suppkey % 8 <> 2").withColumn("b", F.expr("b + if(s_suppkey % 4 = 0, 10, 0)")), "s_suppkey", "g", ["b"])
 
 
