@@ -3,8 +3,10 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from corvane.operators import nodes, schemas
+from corvane.session import weighed
 
 RECORDS = [
     {"type": "c"}, {"type": "b", "y": 1}, {"type": "t", "content": [{"type": "x"}, {"type": "z"}]}, {"type": "t", "content": [], "a/b": {"k~": [[], [None, 1.5, True]]}}, {"type": "b", "y": 1, "z": -2}, 7, [],
@@ -95,3 +97,19 @@ def test_walks_with_cycles(spark):
     parents = spark.createDataFrame(chain, "node long, up long")
     placed = spark.createDataFrame([(2, "two"), (20, "x"), (20, "twenty")], "node long, layer string")
     assert {r.node: r.layer for r in nodes.nearest(parents, placed).collect()} == {i: None if i in (1, 50, 51, 60) else "two" if i < 20 else "twenty" for i, _ in chain}
+
+
+def test_texts_of_one_file_are_read_by_many_tasks(spark):
+    docs = spark.createDataFrame([(i, '{"a":[1,{"b":"\\ud800"}]}') for i in range(64)], "doc long, text string").coalesce(1)
+    tree = nodes.nodes(docs)
+    assert tree.rdd.getNumPartitions() > 1
+    assert {(r.pointer, r.value) for r in tree.collect()} == {("", None), ("/a", None), ("/a/0", "1"), ("/a/1", None), ("/a/1/b", "?")} and tree.count() == 320
+
+
+def test_node_tables_are_never_broadcast_by_the_size_of_their_files(spark):
+    """A few bytes of texts are many nodes: the plan joins them by sorting."""
+    docs = spark.range(3000).selectExpr("id as doc", """'{"a":1,"b":[]}' as text""")
+    tree = weighed(nodes.nodes(docs))
+    plan = tree.join(tree.selectExpr("doc as d", "pointer as p"), F.expr("doc = d and pointer = p"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert "BroadcastHashJoin" in tree.join(weighed(spark.range(3).toDF("d")), F.expr("doc = d"))._jdf.queryExecution().executedPlan().toString()
