@@ -6,36 +6,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions.text import phrasings
+from corvane.session import settled
 
 TOKEN = r"[\p{L}\p{N}_]+"
+#: Two neighbouring words of a text with what stands between them, at each word that has one after it.
+PAIR = r"(?<![\p{L}\p{N}_])(?=([\p{L}\p{N}_]++[^\p{L}\p{N}_]++[\p{L}\p{N}_]++))"
+#: Puts marks around the words of a text, so that a term with its own marks stands in it as whole words or not at all.
+MARK = "\x1f"
 
 
-def bounded(term: Column) -> Column:
-    """The pattern of a term in any case, bounded where its edges are letters, digits or underscores."""
-    quoted = F.regexp_replace(term, r"([\\\[\]{}()*+?.^$|&~#-])", r"\\$1")
-    lead = F.when(term.rlike(r"^[\p{L}\p{N}_]"), r"(?<![\p{L}\p{N}_])").otherwise("")
-    tail = F.when(term.rlike(r"[\p{L}\p{N}_]$"), r"(?![\p{L}\p{N}_])").otherwise("")
-    return F.concat(F.lit("(?iu)"), lead, quoted, tail)
+def marked(text: str) -> Column:
+    """The text in lower case, each run of letters, digits and underscores between marks."""
+    return F.regexp_replace(F.lower(text), f"({TOKEN})", f"{MARK}$1{MARK}")
+
+
+def grams(low: str) -> Column:
+    """Words and pairs of neighbouring words of a column in lower case, each once."""
+    return F.array_distinct(F.concat(F.regexp_extract_all(low, F.lit(TOKEN), F.lit(0)), F.regexp_extract_all(low, F.lit(PAIR), F.lit(1))))
 
 
 def term_locators(texts: DataFrame, terms: DataFrame, text_key: str = "doc_id", term_key: str = "item_id") -> DataFrame:
-    """(text_key, text), (term_key, term) -> term_key, text_key: the texts in which one of the key's terms stands, whole words, any case.
+    """(text_key, text), (term_key, term) -> term_key, text_key: the texts in which one of the key's terms stands, whole words, in lower case.
 
-    The runs of letters and digits inside a term are whole words of any text that holds it, so the two sides
-    join on the longest such run, whatever the number of words; the pattern then decides. Terms without any
-    are tried against every text, which Spark does by broadcast while they are few. Empty terms match nothing.
+    A term of one or two words without anything before or after them is a word or a pair of neighbouring words of
+    any text that holds it, so these join by equality and texts do not travel. Other terms join on their longest
+    word or pair, whatever their number of words; the marked text then decides. Terms without any word are
+    tried against every text, which Spark does by broadcast while they are few. Empty terms match nothing.
     """
-    named = terms.select(F.col(term_key).alias("k_"), F.col("term").alias("t_")).where("trim(t_) <> ''").distinct()
-    words = F.regexp_extract_all(F.lower("t_"), F.lit(TOKEN), F.lit(0))
-    longest = F.array_max(F.transform(words, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    named = named.select("k_", bounded(F.col("t_")).alias("p_"), longest.alias("w_"))
+    named = terms.select(F.col(term_key).alias("k_"), F.lower("term").alias("t_")).where("trim(t_) <> ''").distinct()
+    longest = F.array_max(F.transform(grams("t_"), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    # a term that is one of its own words or pairs needs no text
+    named = named.select("k_", "t_", marked("t_").alias("p_"), longest.alias("w_"), (longest == F.col("t_")).alias("whole"))
     rows = texts.select(F.col(text_key).alias("x_"), "text").where("text is not null")
-    spread = rows.select("x_", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0)))).alias("w_"))
-    # texts travel once for each pair that their words allow, not for each word
-    pairs = spread.join(named.where("w_ is not null"), "w_").select("x_", "k_", "p_").distinct()
-    found = rows.join(pairs, "x_").where(F.expr("text rlike p_")).select("k_", "x_")
-    odd = named.where("w_ is null")
-    found = found.union(rows.join(odd, F.expr("text rlike p_")).select("k_", "x_"))
+    spread = rows.select("x_", F.lower("text").alias("low")).select("x_", F.explode(grams("low")).alias("w_"))
+    # the texts are read for their words once
+    near = settled(spread.join(named.where("w_ is not null"), "w_").select("x_", "k_", "p_", "whole").distinct())
+    found = near.where("whole").select("k_", "x_")
+    # a text is marked once, before it meets the terms that its words allow
+    pairs = near.where("not whole").select("x_", "k_", "p_")
+    checked = rows.select("x_", marked("text").alias("m_")).join(pairs, "x_").where("contains(m_, p_)")
+    odd = rows.select("x_", F.lower("text").alias("low")).join(named.where("w_ is null").select("k_", "t_"), F.expr("contains(low, t_)"))
+    found = found.union(checked.select("k_", "x_")).union(odd.select("k_", "x_"))
     return found.distinct().select(F.col("k_").alias(term_key), F.col("x_").alias(text_key))
 
 
