@@ -273,9 +273,38 @@ def test_held_and_places_of_texts_equal_those_of_nodes(spark):
     assert draft04.places(values[-1], "/*/*", "aa") == []
 
 
-@pytest.mark.parametrize("name", ["failures_inspected"])
+@pytest.mark.parametrize("name", ["failures_inspected", "documents_validated"])
 def test_registered_queries_write_no_nodes_of_documents(spark, name):
     """On the way to their rows they write one row a failure at most, and the nodes of the schema a few times."""
     events = spark.read.parquet(f"{SF}/events.parquet").count()
     assert events >= 500
     assert written(spark, lambda: getattr(algebra, name)(spark, SF).write.format("noop").mode("overwrite").save()) < events
+
+
+def test_texts_are_judged_alike_by_few_and_many_schemas(spark, monkeypatch):
+    """Schemas sent to every task or sorted before shares of their documents: each row once, in either way as a plain validator tells it."""
+    r = random.Random(8)
+    schemas = [{**random_schema(r, 3, ["d0"]), "definitions": {"d0": random_schema(r, 2, [])}} for _ in range(20)]
+    values = [random_value(r) for _ in range(400)]
+    owner = [0 if i % 2 else r.randrange(20) for i in range(400)]
+    rows = [(i, owner[i], json.dumps(v), i * 7) for i, v in enumerate(values)] + [(900, 3, "{", 1), (901, 3, None, 2), (902, 77, "{}", 3), (903, None, "{}", 4), (None, 77, "7", 5)] + [(5, owner[5], json.dumps(values[5]), 35)]
+    asked = spark.createDataFrame(rows, "doc long, schema long, text string, more long").repartition(5)
+    want = sorted([(i, owner[i], i * 7, *plain_verdict(v, schemas[owner[i]])) for i, v in [*enumerate(values), (5, values[5])]] + [(900, 3, 1, False, None, None, None, "no JSON"), (901, 3, 2, False, None, None, None, "no JSON")]
+                  + [(902, 77, 3, True, None, None, None, None), (903, None, 4, True, None, None, None, None), (None, 77, 5, True, None, None, None, None)], key=repr)
+    tree = tree_of(spark, schemas)
+    for few in (validation.FEW, 0):
+        monkeypatch.setattr(validation, "FEW", few)
+        found = validation.judged(asked, tree)
+        assert found.columns == ["doc", "schema", "text", "more", "valid", "pointer", "keyword", "schema_pointer", "said"]
+        assert sorted([(x.doc, x.schema, x.more, *x[4:]) for x in found.collect()], key=repr) == want
+    assert sum(not x[3] for x in want) > 60
+
+
+def test_deep_documents_and_halves_of_pairs(spark):
+    """A document nested 3000 deep, met by a schema that refers to itself, and texts that no column can hold as they are."""
+    deep = '{"a":[' * 1500 + "7" + "]}" * 1500
+    rows = [(0, deep), (1, deep.replace("7", "null")), (2, '{"s":"x\\ud800\\\\ud800\\ud83d\\ude00"}')]
+    schema = {"properties": {"a": {"items": {"anyOf": [{"type": "integer"}, {"$ref": "#"}]}}, "s": {"enum": []}}, "type": "object"}
+    asked = spark.createDataFrame(rows, "doc long, text string").selectExpr("doc", "0 as schema", "text")
+    got = {x.doc: (x.valid, x.pointer, x.said) for x in validation.judged(asked, tree_of(spark, [schema])).collect()}
+    assert got == {0: (True, None, None), 1: (False, "/a/0", "matches none of: integer, #"), 2: (False, "/s", "'x?\\ud800\U0001f600' is not one of []")}
